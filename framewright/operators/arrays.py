@@ -129,7 +129,8 @@ def equal_width_bin(col: str, low: Column, high: Column, bins: int) -> Column:
     [low, high] go to the nearest bin, a constant column to bin 0."""
     x = F.col(col).cast("double")
     place = F.floor(F.try_divide((x - low) * bins, high - low)).cast("int")
-    return F.when(x.isNotNull(), F.greatest(F.coalesce(F.least(place, F.lit(bins - 1)), F.lit(0)), F.lit(0)))
+    inside = F.greatest(F.least(F.coalesce(place, F.lit(0)), F.lit(bins - 1)), F.lit(0))
+    return F.when(x.isNotNull(), inside)
 
 
 def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:

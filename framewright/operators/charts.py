@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from framewright.functions.exprs import attach, names
 from framewright.operators.arrays import equal_width_bin
-from framewright.operators.ordered import SPLIT_ROWS, hot_keys, quantile_table, scan
+from framewright.operators.ordered import SPLIT_ROWS, attach_split, hot_keys, quantile_table, scan
 from framewright.operators.timeseries import resample
 
 
@@ -31,19 +31,19 @@ def box_stats(
     """Quartiles, whiskers at the extreme values inside the fences, and outliers beyond them."""
     by = names(by)
     rows = df.where(F.col(col).isNotNull()).select(*by, F.col(col).cast("double").alias("v"))
-    q = quantile_table(rows, "v", [0.25, 0.5, 0.75], by, split_rows).select(
+    hot = hot_keys(rows, by, split_rows)
+    q = quantile_table(rows, "v", [0.25, 0.5, 0.75], by, hot=hot).select(
         *by, F.col("q0").alias("q25"), F.col("q1").alias("q50"), F.col("q2").alias("q75")
     )
     reach = F.lit(float(k)) * (F.col("q75") - F.col("q25"))
     inside = F.col("v").between(F.col("q25") - reach, F.col("q75") + reach)
-    whiskers = attach(rows, q, by).groupBy(*by).agg(
+    return attach_split(rows, q, by, hot).groupBy(*by).agg(
         *[F.max(c).alias(c) for c in ("q25", "q50", "q75")],
         F.min(F.when(inside, F.col("v"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("v"))).alias("whisker_high"),
         F.count(F.when(~inside, 1)).alias("outliers"),
         F.count("*").alias("n"),
     )
-    return whiskers
 
 
 def ecdf(df: DataFrame, col: str, by=None, split_rows: int | None = SPLIT_ROWS) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from framewright.functions.exprs import attach, columns, finite, join_on, micros, names
-from framewright.operators.ordered import SPLIT_ROWS, quantile_table, scan
+from framewright.operators.ordered import SPLIT_ROWS, attach_split, hot_keys, quantile_table, scan
 
 
 def profile(
@@ -38,16 +38,10 @@ def profile(
             .select("*", *[F.col("__q")[i].alias(n) for i, n in enumerate(("q25", "q50", "q75"))])
             .drop("__q")
         )
-    distinct = (
-        long.where(F.col("value").isNotNull())
-        .groupBy("column", "value").agg(F.lit(1).alias("one"))
-        .groupBy("column").agg(F.count("one").alias("distinct"))
-    )
     quartiles = quantile_table(long, "value", [0.25, 0.5, 0.75], "column", split_rows).select(
-        "column", F.col("q0").alias("q25"), F.col("q1").alias("q50"), F.col("q2").alias("q75")
+        "column", "distinct", F.col("q0").alias("q25"), F.col("q1").alias("q50"), F.col("q2").alias("q75")
     )
-    out = join_on(long.groupBy("column").agg(*basics), distinct, "column")
-    return join_on(out, quartiles, "column").withColumn(
+    return join_on(long.groupBy("column").agg(*basics), quartiles, "column").withColumn(
         "distinct", F.coalesce("distinct", F.lit(0).cast("bigint"))
     )
 
@@ -127,17 +121,19 @@ def impute(
     when ``by`` is given. Statistics come from ``train`` when it is given."""
     if how == "constant":
         return df.withColumn(col, F.coalesce(F.col(col), F.lit(value)))
-    by, train = names(by), df if train is None else train
+    by, train, hot = names(by), df if train is None else train, None
     if how == "mean":
         fill = train.groupBy(*by).agg(F.avg(col).alias("__fill"))
     elif how == "median":
-        fill = quantile_table(train, col, [0.5], by, split_rows).select(*by, F.col("q0").alias("__fill"))
+        hot = hot_keys(train, by, split_rows)
+        fill = quantile_table(train, col, [0.5], by, hot=hot).select(*by, F.col("q0").alias("__fill"))
     elif how == "mode":
         fill = most_frequent(train, col, by, "__fill")
     else:
         raise ValueError(f"unknown way to impute {how!r}")
+    filled = attach_split(df, fill, by, hot) if hot else attach(df, fill, by)
     return (
-        attach(df, fill, by)
+        filled
         .withColumn(col, F.coalesce(F.col(col), F.col("__fill")))
         .drop("__fill")
     )
@@ -177,10 +173,11 @@ def outliers_iqr(
 ) -> DataFrame:
     """Rows outside [q25 - k·IQR, q75 + k·IQR] of their group."""
     by = names(by)
-    q = quantile_table(df, col, [0.25, 0.75], by, split_rows)
+    hot = hot_keys(df, by, split_rows)
+    q = quantile_table(df, col, [0.25, 0.75], by, hot=hot)
     spread = F.lit(float(k)) * (F.col("q1") - F.col("q0"))
     fences = q.select(*by, (F.col("q0") - spread).alias("low"), (F.col("q1") + spread).alias("high"))
-    return attach(df, fences, by).where((F.col(col) < F.col("low")) | (F.col(col) > F.col("high")))
+    return attach_split(df, fences, by, hot).where((F.col(col) < F.col("low")) | (F.col(col) > F.col("high")))
 
 
 def zscore(df: DataFrame, col: str, by=None, out: str = "z") -> DataFrame:
@@ -201,14 +198,15 @@ def winsorize(
 ) -> DataFrame:
     """Clip at the ``lo`` and ``hi`` quantiles (of the group). Missing values stay missing."""
     by = names(by)
-    edges = quantile_table(df, col, [lo, hi], by, split_rows).select(
+    hot = hot_keys(df, by, split_rows)
+    edges = quantile_table(df, col, [lo, hi], by, hot=hot).select(
         *by, F.col("q0").alias("__lo"), F.col("q1").alias("__hi")
     )
     clipped = F.when(
         F.col(col).isNotNull(),
         F.least(F.greatest(F.col(col).cast("double"), F.col("__lo")), F.col("__hi")),
     )
-    return attach(df, edges, by).withColumn(out or col, clipped).drop("__lo", "__hi")
+    return attach_split(df, edges, by, hot).withColumn(out or col, clipped).drop("__lo", "__hi")
 
 
 def nan_to_null(df: DataFrame, cols: str | Sequence[str]) -> DataFrame:

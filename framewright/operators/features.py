@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from framewright.functions.exprs import attach, join_on, names
 from framewright.operators.ordered import quantile_table
+from framewright.operators.timeseries import rank_by
 
 # a token is a run of letters of any script
 TOKEN_BREAK = r"[^\p{L}]+"
@@ -155,7 +156,7 @@ class QuantileBinner(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable
 
     def _fit(self, dataset: DataFrame) -> Bucketizer:
         n = self.getOrDefault(self.bins)
-        edges = quantile_table(dataset, self.getInputCol(), [i / n for i in range(1, n)]).drop("n").first()
+        edges = quantile_table(dataset, self.getInputCol(), [i / n for i in range(1, n)]).drop("n", "distinct").first()
         inner = sorted(set(edges)) if edges else []
         splits = [float("-inf"), *inner, float("inf")]
         if len(splits) < 3:  # one bin: the bucketizer wants an inner edge nothing reaches
@@ -225,10 +226,18 @@ def kept_columns(model: PipelineModel, inputs: Sequence[str]) -> list[str]:
 
 
 def correlation(df: DataFrame, cols: Sequence[str], method: str = "pearson") -> DataFrame:
-    """Correlation matrix in long form (a, b, r); the matrix is as small as the column list."""
+    """Correlation matrix in long form (a, b, r), over rows without missing values.
+
+    Spearman is Pearson on average ranks; each column is ranked by its distinct values.
+    """
     rows = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
+    if method == "spearman":
+        for c in cols:
+            rows = rank_by(rows, None, c, "average", out="__rank").withColumn(c, F.col("__rank")).drop("__rank")
+    elif method != "pearson":
+        raise ValueError(f"unknown correlation {method!r}")
     vectors = VectorAssembler(inputCols=list(cols), outputCol="__v").transform(rows).select("__v")
-    matrix = Correlation.corr(vectors, "__v", method).first()[0].toArray()
+    matrix = Correlation.corr(vectors, "__v").first()[0].toArray()
     cells = [(a, b, float(matrix[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
     return df.sparkSession.createDataFrame(cells, "a string, b string, r double")
 

@@ -34,6 +34,7 @@ def batch_predict(
     udf_args = {"return_type": return_type, "batch_size": batch_size}
     arrays = [isinstance(df.schema[c].dataType, ArrayType) for c in cols]
     if any(arrays):
-        lengths = df.select(*[F.max(F.size(c)).alias(c) for c, a in zip(cols, arrays) if a]).first().asDict()
-        udf_args["input_tensor_shapes"] = [[lengths[c]] if a else None for c, a in zip(cols, arrays)]
+        first = df.select(*cols).dropna().first()
+        shapes = [[len(first[c])] if a and first else None for c, a in zip(cols, arrays)]
+        udf_args["input_tensor_shapes"] = [s or ([1] if a else None) for s, a in zip(shapes, arrays)]
     return df.withColumn(out, predict_batch_udf(make_fn, **udf_args)(*cols))

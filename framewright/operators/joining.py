@@ -154,14 +154,27 @@ def concat(dfs: Sequence[DataFrame]) -> DataFrame:
 
 
 def set_ops(left: DataFrame, right: DataFrame, op: str) -> DataFrame:
-    """union, union_all, intersect, intersect_all, except or except_all of whole rows."""
+    """union, union_all, intersect, intersect_all, except or except_all of whole rows.
+
+    The forms without repeats count both sides in one aggregation, so that copies of
+    a row are merged before the shuffle; a join would send every copy to one task.
+    """
+    cols = left.columns
+
+    def present(where: str) -> DataFrame:
+        sides = left.select(*cols, F.lit(1).alias("__l"), F.lit(0).alias("__r")).unionByName(
+            right.select(*cols, F.lit(0).alias("__l"), F.lit(1).alias("__r"))
+        )
+        seen = sides.groupBy(*cols).agg(F.max("__l").alias("__l"), F.max("__r").alias("__r"))
+        return seen.where(where).select(*cols)
+
     ops = {
         "union": lambda: left.unionByName(right).distinct(),
         "union_all": lambda: left.unionByName(right),
-        "intersect": lambda: left.intersect(right.select(*left.columns)),
-        "intersect_all": lambda: left.intersectAll(right.select(*left.columns)),
-        "except": lambda: left.subtract(right.select(*left.columns)),
-        "except_all": lambda: left.exceptAll(right.select(*left.columns)),
+        "intersect": lambda: present("__l = 1 and __r = 1"),
+        "intersect_all": lambda: left.intersectAll(right.select(*cols)),
+        "except": lambda: present("__l = 1 and __r = 0"),
+        "except_all": lambda: left.exceptAll(right.select(*cols)),
     }
     if op not in ops:
         raise ValueError(f"unknown set operation {op!r}, one of {sorted(ops)}")

@@ -13,8 +13,6 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import BucketedRandomProjectionLSH
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from framewright.functions.exprs import join_on
@@ -151,34 +149,39 @@ def topk_similar(
 
 def topk_similar_lsh(
     q: DataFrame, base: DataFrame, k: int, metric: str = "cosine", id_col: str = "vec_id", vec: str = "embedding",
-    skip_self: bool = False, tables: int = 8, width: float = 1.0, seed: int = 42, block_rows: int = BLOCK_ROWS,
+    skip_self: bool = False, tables: int = 12, projections: int = 3, width: float = 2.0, seed: int = 42,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Approximate ``k`` most similar: exact search among base rows that share a
-    random-projection bucket with the query in at least one of ``tables``.
+    bucket with the query in at least one of ``tables``.
 
-    Wider buckets and more tables find more neighbours and cost more. A bucket
-    that holds a large share of the rows is searched in blocks like the exact form;
-    nothing in it is skipped.
+    A bucket is a cell of ``width`` on ``projections`` random directions; for cosine the
+    vectors are scaled to length one first. Wider cells, fewer projections and more
+    tables find more neighbours and cost more. A bucket that holds a large share of
+    the rows is searched in blocks like the exact form; nothing in it is skipped.
     """
+    if metric not in METRICS:
+        raise ValueError(f"metric {metric!r} is not one of {METRICS}")
     q, base = _prepared(q, id_col, vec), _prepared(base, id_col, vec)
 
-    def unit(d: DataFrame) -> DataFrame:
-        length = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x))
-        scaled = F.transform("vec", lambda x: x / length) if metric == "cosine" else F.col("vec")
-        known = d.where(length > 0) if metric == "cosine" else d
-        return known.withColumn("__features", array_to_vector(scaled))
-
-    hasher = BucketedRandomProjectionLSH(
-        inputCol="__features", outputCol="__hashes", bucketLength=width, numHashTables=tables, seed=seed
-    ).fit(unit(base))
+    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if batch.empty:
+                continue
+            x = np.asarray(batch["vec"].tolist(), float)
+            lengths = np.linalg.norm(x, axis=1, keepdims=True)
+            unit = np.divide(x, lengths, out=np.zeros_like(x), where=lengths > 0) if metric == "cosine" else x
+            rng = np.random.default_rng(seed)
+            directions = rng.standard_normal((x.shape[1], tables * projections))
+            offsets = rng.uniform(0, width, tables * projections)
+            cells = np.floor((unit @ directions + offsets) / width).astype(np.int64)
+            for n in range(tables):
+                yield batch.assign(table=n, bucket=cells[:, n * projections:(n + 1) * projections].tolist())
 
     def bucketed(d: DataFrame) -> DataFrame:
-        hashed = hasher.transform(unit(d))
-        return hashed.select("id", "vec", F.posexplode("__hashes").alias("__table", "__h")).select(
-            "id", "vec", "__table", vector_to_array("__h")[0].cast("bigint").alias("__bucket")
-        )
+        return d.mapInPandas(hashed, "id bigint, vec array<double>, table int, bucket array<bigint>")
 
-    found = _blockwise(bucketed(q), bucketed(base), ["__table", "__bucket"], k, metric, skip_self, block_rows)
+    found = _blockwise(bucketed(q), bucketed(base), ["table", "bucket"], k, metric, skip_self, block_rows)
     once = found.groupBy("q_id", "b_id").agg(F.max("similarity").alias("similarity"))
     return _keep_best(once, k)
 

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Row, Window as W, WindowSpec, functions as F
 
-from framewright.functions.exprs import columns, join_on, names
+from framewright.functions.exprs import attach, columns, join_on, names
 from framewright.session import checkpointed
 
 SPLIT_ROWS = 4_000_000
@@ -57,20 +57,33 @@ def hot_keys(df: DataFrame, by: str | Sequence[str] | None, split_rows: int | No
     return Hot(found, sum(r["__n"] for r in found), split_rows)
 
 
+def listed_keys(df: DataFrame, by: list[str], hot: Hot) -> DataFrame:
+    """The hot keys as a table, small enough to broadcast: see ``hot_keys``."""
+    rows = [tuple(r[c] for c in by) for r in hot.keys]
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.select(*by).schema))
+
+
+def attach_split(df: DataFrame, stats: DataFrame, by: str | Sequence[str] | None, hot: Hot) -> DataFrame:
+    """Like ``attach``, but rows of hot keys are not shuffled by key: the few
+    statistics rows of these keys are broadcast to them."""
+    by = names(by)
+    if not by or not hot.keys:
+        return attach(df, stats, by)
+    listed = listed_keys(df, by, hot)
+    few = F.broadcast(join_on(stats, listed, by, "left_semi"))
+    heavy = join_on(join_on(df, listed, by, "left_semi"), few, by)
+    return join_on(join_on(df, listed, by, "left_anti"), stats, by).unionByName(heavy)
+
+
 def _split(df: DataFrame, by: list[str], order: list[Column], hot: Hot) -> tuple[DataFrame | None, DataFrame | None]:
     """(rows of ordinary keys, chunked rows of hot keys); None where there are none."""
     if not hot.keys:
         return df, None
     cold, heavy = None, df
     if by:
-        # bounded by rows / split_rows, see hot_keys
-        keys = F.broadcast(
-            df.sparkSession.createDataFrame(
-                [tuple(r[c] for c in by) for r in hot.keys], df.select(*by).schema
-            )
-        )
-        cold = join_on(df, keys, by, "left_anti")
-        heavy = join_on(df, keys, by, "left_semi")
+        listed = listed_keys(df, by, hot)
+        cold = join_on(df, listed, by, "left_anti")
+        heavy = join_on(df, listed, by, "left_semi")
     chunks = int(min(max(2, -(-hot.rows // hot.split_rows)), MAX_CHUNKS))
     heavy = heavy.repartitionByRange(chunks, *[F.col(c) for c in by], *order)
     return cold, checkpointed(heavy.withColumn(CHUNK, F.spark_partition_id()))
@@ -252,8 +265,9 @@ def quantile_table(
     ps: Sequence[float],
     by: str | Sequence[str] | None = None,
     split_rows: int | None = SPLIT_ROWS,
+    hot: Hot | None = None,
 ) -> DataFrame:
-    """Exact linear-interpolated quantiles, one row per group: by…, n, q0, q1, …
+    """Exact linear-interpolated quantiles, one row per group: by…, n, distinct, q0, q1, …
 
     Equal values are counted before anything is ordered, so repeated values cost
     one row; ranks come from a running count that splits hot groups. Unlike the
@@ -261,7 +275,7 @@ def quantile_table(
     """
     by = names(by)
     known = df.where(F.col(col).isNotNull()).select(*by, F.col(col).cast("double").alias("__v"))
-    hot = hot_keys(known, by, split_rows)
+    hot = hot_keys(known, by, split_rows) if hot is None else hot
     counted = known.groupBy(*by, "__v").agg(F.count("*").alias("__c"))
     ranked = scan(counted, by, "__v", {"__cum": ("sum", "__c")}, {"__n": "__c"}, hot=hot)
     n, cum, first = F.col("__n"), F.col("__cum"), F.col("__cum") - F.col("__c")
@@ -277,7 +291,7 @@ def quantile_table(
         out.append((lo + (k - F.floor(k)) * (hi - lo)).alias(f"q{i}"))
     return (
         ranked.groupBy(*by)
-        .agg(F.max("__n").alias("__n"), *picks)
-        .select(*by, n.alias("n"), *out)
+        .agg(F.max("__n").alias("__n"), F.count("*").alias("distinct"), *picks)
+        .select(*by, n.alias("n"), "distinct", *out)
     )
 

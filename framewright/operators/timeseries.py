@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from framewright.functions.exprs import join_on, micros, names
-from framewright.operators.ordered import SPLIT_ROWS, hot_keys, near_rows, positions, scan
+from framewright.operators.ordered import SPLIT_ROWS, hot_keys, listed_keys, near_rows, positions, scan
 
 STATS = {
     "sum": F.sum, "mean": F.avg, "min": F.min, "max": F.max, "std": F.stddev_samp, "count": F.count,
@@ -102,9 +102,7 @@ def rolling_time(
     hot = hot_keys(df, by, split_rows)
     if not hot.keys:
         return rolled(timed, by).drop("__us")
-    listed = F.broadcast(
-        df.sparkSession.createDataFrame([tuple(r[c] for c in by) for r in hot.keys], df.select(*by).schema)
-    )
+    listed = listed_keys(df, by, hot)
     home = F.floor(F.col("__us") / width)
     blocks = (
         join_on(timed, listed, by, "left_semi")

@@ -75,7 +75,7 @@ def logistic(t: Tables) -> DataFrame:
 @query("linear_svm")
 def linear_svm(t: Tables) -> DataFrame:
     rows = scored(t).withColumn("size", F.log1p("n_chars"))
-    return counted(ops.linear_svm(rows, ["size"], "quality", l2=0.01).transform(rows), "quality")
+    return counted(ops.linear_svm(rows, ["size"], "quality", l2=0.01, iterations=10).transform(rows), "quality")
 
 
 def forest(t: Tables, kind: str) -> DataFrame:
