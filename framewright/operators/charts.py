@@ -74,9 +74,17 @@ def kde_grid(df: DataFrame, col: str, points: Sequence[float], bandwidth: float,
 
 
 def corr_heatmap(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every ordered pair of columns, long form, in one pass."""
+    """Pearson correlation of every ordered pair of columns, long form, in one pass;
+    NULL where a column is constant."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    one = df.agg(*[F.corr(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
+
+    def pearson(a: str, b: str) -> Column:
+        # F.corr divides by zero on a constant column, which ANSI mode refuses
+        both = F.col(a).isNotNull() & F.col(b).isNotNull()
+        spread = F.stddev_pop(F.when(both, F.col(a))) * F.stddev_pop(F.when(both, F.col(b)))
+        return F.try_divide(F.covar_pop(a, b), spread)
+
+    one = df.agg(*[pearson(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
     cells = [
         F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"{i}").alias("r"))
         for i, pair in enumerate(pairs)
