@@ -125,19 +125,19 @@ def merge_asof(
     both = l_side.unionByName(r_side, allowMissingColumns=True)
     both = both.withColumn("__is_left", F.col("__l").isNotNull().cast("int"))
 
-    def carried(d: DataFrame, kind: str) -> DataFrame:
-        # at equal times the right rows come first (last) so that they count
-        first = F.col("__is_left").asc() if kind == "last" else F.col("__is_left").desc()
-        return scan(d, by, [F.col("__t"), first, F.col("__ties")], {f"__{kind}": (kind, "__r")}, split_rows=split_rows)
-
     def gap(c: str) -> Column:
         other = F.col(c).getField(on)
         if is_time:
             return F.abs(micros("__t") - micros(other)) / F.lit(1e6)
         return F.abs(F.col("__t") - other)
 
+    # At equal times right rows stand first, so that looking back finds them; looking
+    # forward only, they stand last. Looking both ways, back already found them.
     kinds = {"backward": ["last"], "forward": ["next"], "nearest": ["last", "next"]}[direction]
-    found = reduce(carried, kinds, both).where("__is_left = 1")
+    side = F.col("__is_left").desc() if direction == "forward" else F.col("__is_left").asc()
+    found = scan(
+        both, by, [F.col("__t"), side, F.col("__ties")], {f"__{k}": (k, "__r") for k in kinds}, split_rows=split_rows
+    ).where("__is_left = 1")
     match = F.col(f"__{kinds[0]}")
     if direction == "nearest":
         closer = F.col("__last").isNull() | (gap("__next") < gap("__last"))

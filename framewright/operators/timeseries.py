@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -86,32 +87,102 @@ def rolling_time(
     df: DataFrame, by, ts: str, col: str, seconds: int, stat: str = "mean", out: str = "rolling",
     split_rows: int | None = SPLIT_ROWS,
 ) -> DataFrame:
-    """Statistic over the rows at most ``seconds`` older than the row, itself included.
-
-    Hot keys are cut into blocks of one width; each block also gets the width
-    before it. A task then holds two widths of a key instead of all of it.
-    """
+    """Statistic over the rows at most ``seconds`` older than the row, itself included."""
     by = names(by)
     width = int(seconds) * 1_000_000
     timed = df.withColumn("__us", micros(ts))
+    hot = hot_keys(df, by, split_rows)
+    cold, heavy = timed, None
+    if hot.keys:
+        listed = listed_keys(df, by, hot) if by else None
+        cold = join_on(timed, listed, by, "left_anti") if by else None
+        heavy = join_on(timed, listed, by, "left_semi") if by else timed
+    parts = []
+    if cold is not None:
+        w = W.partitionBy(*by).orderBy("__us").rangeBetween(-width, 0)
+        parts.append(cold.withColumn(out, STATS[stat](col).over(w)))
+    if heavy is not None:
+        parts.append(_rolling_in_blocks(heavy, by, col, width, stat, out, hot.split_rows))
+    return reduce(DataFrame.unionByName, parts).drop("__us")
 
-    def rolled(d: DataFrame, keys: list[str]) -> DataFrame:
-        w = W.partitionBy(*keys).orderBy("__us").rangeBetween(-width, 0)
-        return d.withColumn(out, STATS[stat](col).over(w))
 
-    hot = hot_keys(df, by, split_rows)
-    if not hot.keys:
-        return rolled(timed, by).drop("__us")
-    listed = listed_keys(df, by, hot)
-    home = F.floor(F.col("__us") / width)
-    blocks = (
-        join_on(timed, listed, by, "left_semi")
-        .withColumn("__home", home)
-        .withColumn("__block", F.explode(F.array(home, home + 1)))
+def _rolling_in_blocks(df: DataFrame, by: list[str], col: str, width: int, stat: str, out: str, rows: int) -> DataFrame:
+    """Rolling statistic of hot keys from three pieces that no task has to hold together.
+
+    Time is cut into ``per_width`` blocks per frame width, so many that a block has about
+    ``rows`` rows. The frame of a row in block b is then the part of b up to the row,
+    the whole blocks b-per_width+1 … b-1, and the end of block b-per_width. The first is a
+    window inside the block; the second runs over one row per block; for the third the row is sent
+    to the older block, shifted by the width, and stands there among the block's own rows.
+    """
+    us = F.col("__us")
+    busiest = df.groupBy(*by, F.floor(us / width).alias("__b")).agg(F.count("*").alias("__n")).agg(F.max("__n")).first()[0]
+    per_width = next(m for m in range(max(1, -(-busiest // rows)), width + 1) if width % m == 0)
+    block = F.floor(us / (width // per_width)).cast("bigint")
+
+    x = F.col(col).cast("double") if stat in ("mean", "std") else F.col(col)
+    centre = df.agg(F.avg(col)).first()[0] if stat == "std" else None
+    # running pieces: name -> (how to add up, input)
+    pieces = {
+        "sum": {"s": ("sum", x)},
+        "min": {"lo": ("min", x)},
+        "max": {"hi": ("max", x)},
+        "count": {"n": ("sum", x.isNotNull().cast("bigint"))},
+        "mean": {"s": ("sum", x), "n": ("sum", x.isNotNull().cast("bigint"))},
+        "std": {
+            "s": ("sum", x - F.lit(centre)), "ss": ("sum", (x - F.lit(centre)) * (x - F.lit(centre))),
+            "n": ("sum", x.isNotNull().cast("bigint")),
+        },
+    }[stat]
+    call = {"sum": F.sum, "min": F.min, "max": F.max}
+    keys = [*by, "__block"]
+    rows_ = df.withColumns({"__block": block, **{f"__x_{p}": v for p, (_, v) in pieces.items()}})
+
+    upto = W.partitionBy(*keys).orderBy("__us").rangeBetween(W.unboundedPreceding, 0)
+    headed = rows_.withColumns({f"__head_{p}": call[k](f"__x_{p}").over(upto) for p, (k, _) in pieces.items()})
+
+    per_block = rows_.groupBy(*keys).agg(*[call[k](f"__x_{p}").alias(f"__x_{p}") for p, (k, _) in pieces.items()])
+    older = W.partitionBy(*by).orderBy("__block").rangeBetween(-(per_width - 1), -1)
+    middle = per_block.select(
+        *keys,
+        *[(call[k](f"__x_{p}").over(older) if per_width > 1 else F.lit(None)).alias(f"__mid_{p}") for p, (k, _) in pieces.items()],
+    )
+
+    payload = [c for c in headed.columns if not c.startswith("__x_") and c not in by]
+    asking = headed.select(
+        *by, (F.col("__block") - per_width).alias("__block"), (us - width).alias("__us"),
+        F.struct(*payload).alias("__row"),
     )
-    heavy = rolled(blocks, [*by, "__block"]).where("__block = __home").drop("__block", "__home")
-    cold = rolled(join_on(timed, listed, by, "left_anti"), by)
-    return cold.unionByName(heavy).drop("__us")
+    own = rows_.select(*keys, "__us", *[f"__x_{p}" for p in pieces])
+    after = W.partitionBy(*keys).orderBy(us.desc()).rangeBetween(W.unboundedPreceding, 0)
+    tailed = asking.unionByName(own, allowMissingColumns=True).withColumns(
+        {f"__tail_{p}": call[k](f"__x_{p}").over(after) for p, (k, _) in pieces.items()}
+    )
+    answered = tailed.where(F.col("__row").isNotNull()).select(*by, "__row.*", *[f"__tail_{p}" for p in pieces])
+
+    def together(p: str) -> Column:
+        parts = [F.col(f"__{part}_{p}") for part in ("tail", "mid", "head")]
+        kind = pieces[p][0]
+        if kind == "sum":
+            known = F.coalesce(*parts).isNotNull()
+            return F.when(known, sum((F.coalesce(c, F.lit(0)) for c in parts[1:]), F.coalesce(parts[0], F.lit(0))))
+        return (F.least if kind == "min" else F.greatest)(*parts)
+
+    n = together("n") if "n" in pieces else None
+    value = {
+        "sum": lambda: together("s"),
+        "min": lambda: together("lo"),
+        "max": lambda: together("hi"),
+        "count": lambda: n,
+        "mean": lambda: F.try_divide(together("s"), n),
+        "std": lambda: F.sqrt(F.greatest(
+            F.try_divide(together("ss") - F.try_divide(together("s") * together("s"), n), n - 1), F.lit(0.0)
+        )),
+    }[stat]()
+    done = join_on(answered, middle, keys).withColumn(out, value)
+    if stat == "std":
+        done = done.withColumn(out, F.when(n > 1, F.col(out)))
+    return done.drop("__block", *[f"__{part}_{p}" for part in ("head", "mid", "tail") for p in pieces])
 
 
 def ewm_mean(

@@ -27,7 +27,12 @@ OPS = {
     "lead": lambda d, s: ts_ops.shift_diff(d, "k", ORDER, "v", -2, split_rows=s),
     "lag_far": lambda d, s: ts_ops.shift_diff(d, "k", ORDER, "v", 45, split_rows=s),
     "rolling_rows": lambda d, s: ts_ops.rolling_rows(d, "k", ORDER, "v", 7, "sum", split_rows=s),
-    "rolling_time": lambda d, s: ts_ops.rolling_time(d, "k", "ts", "v", 5_000, "sum", split_rows=s),
+    **{
+        f"rolling_time_{m}": lambda d, s, m=m: ts_ops.rolling_time(d, "k", "ts", "v", 20_000, m, split_rows=s)
+        for m in ts_ops.STATS
+    },
+    "rolling_time_short": lambda d, s: ts_ops.rolling_time(d, "k", "ts", "v", 600, "sum", split_rows=s),
+    "rolling_time_all": lambda d, s: ts_ops.rolling_time(d, None, "ts", "v", 7_000, "mean", split_rows=s),
     "ewm": lambda d, s: ts_ops.ewm_mean(d, "k", ORDER, "v", 0.3, split_rows=s),
     "ewm_fast": lambda d, s: ts_ops.ewm_mean(d, "k", ORDER, "v", 0.999999, split_rows=s),
     "ewm_all": lambda d, s: ts_ops.ewm_mean(d, "k", ORDER, "v", 1.0, split_rows=s),
