@@ -4,17 +4,19 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from framewright.functions.exprs import join_on, micros, names
-from framewright.operators.ordered import SPLIT_ROWS, hot_keys, listed_keys, near_rows, positions, scan
+from framewright.operators.ordered import SPLIT_ROWS, hot_keys, near_rows, positions, scan
 
 STATS = {
     "sum": F.sum, "mean": F.avg, "min": F.min, "max": F.max, "std": F.stddev_samp, "count": F.count,
 }
 
+# frames with more rows than this are added up in blocks and not one by one
+FRAME_ROWS = 500
+
 
 def rank_by(
     df: DataFrame,
@@ -78,7 +80,11 @@ def rolling_rows(
     df: DataFrame, by, order, col: str, n: int, stat: str = "mean", out: str = "rolling",
     split_rows: int | None = SPLIT_ROWS,
 ) -> DataFrame:
-    """Statistic over the last ``n`` rows, fewer at the start of a group."""
+    """Statistic over the last ``n`` rows, fewer at the start of a group. Long frames are
+    added up in blocks of positions, see ``rolling_time``."""
+    if n > FRAME_ROWS and split_rows is not None:
+        placed = positions(df, by, order, "__at", split_rows=split_rows)
+        return _rolling_in_blocks(placed, names(by), col, n - 1, stat, out, n - 1, split_rows).drop("__at")
     make = {out: lambda w: STATS[stat](col).over(w.rowsBetween(-(n - 1), 0))}
     return near_rows(df, by, order, make, back=n - 1, split_rows=split_rows)
 
@@ -87,38 +93,40 @@ def rolling_time(
     df: DataFrame, by, ts: str, col: str, seconds: int, stat: str = "mean", out: str = "rolling",
     split_rows: int | None = SPLIT_ROWS,
 ) -> DataFrame:
-    """Statistic over the rows at most ``seconds`` older than the row, itself included."""
+    """Statistic over the rows at most ``seconds`` older than the row, itself included.
+
+    A sliding window adds up every frame anew and needs all rows of a key in one task. So it is
+    used only where a count of rows per key and width finds both small.
+    """
     by = names(by)
     width = int(seconds) * 1_000_000
-    timed = df.withColumn("__us", micros(ts))
-    hot = hot_keys(df, by, split_rows)
-    cold, heavy = timed, None
-    if hot.keys:
-        listed = listed_keys(df, by, hot) if by else None
-        cold = join_on(timed, listed, by, "left_anti") if by else None
-        heavy = join_on(timed, listed, by, "left_semi") if by else timed
-    parts = []
-    if cold is not None:
-        w = W.partitionBy(*by).orderBy("__us").rangeBetween(-width, 0)
-        parts.append(cold.withColumn(out, STATS[stat](col).over(w)))
-    if heavy is not None:
-        parts.append(_rolling_in_blocks(heavy, by, col, width, stat, out, hot.split_rows))
-    return reduce(DataFrame.unionByName, parts).drop("__us")
-
-
-def _rolling_in_blocks(df: DataFrame, by: list[str], col: str, width: int, stat: str, out: str, rows: int) -> DataFrame:
-    """Rolling statistic of hot keys from three pieces that no task has to hold together.
-
-    Time is cut into ``per_width`` blocks per frame width, so many that a block has about
-    ``rows`` rows. The frame of a row in block b is then the part of b up to the row,
-    the whole blocks b-per_width+1 … b-1, and the end of block b-per_width. The first is a
-    window inside the block; the second runs over one row per block; for the third the row is sent
-    to the older block, shifted by the width, and stands there among the block's own rows.
+    timed = df.withColumn("__at", micros(ts))
+    longest, busiest = 0, 0
+    if split_rows is not None:
+        per_slot = timed.groupBy(*by, F.floor(F.col("__at") / width).alias("__slot")).agg(F.count("*").alias("__n"))
+        per_key = per_slot.groupBy(*by).agg(F.sum("__n").alias("__n"), F.max("__n").alias("__most"))
+        longest, busiest = per_key.agg(F.coalesce(F.max("__n"), F.lit(0)), F.coalesce(F.max("__most"), F.lit(0))).first()
+    if split_rows is None or (longest <= split_rows and busiest <= min(FRAME_ROWS, split_rows)):
+        w = W.partitionBy(*by).orderBy("__at").rangeBetween(-width, 0)
+        return timed.withColumn(out, STATS[stat](col).over(w)).drop("__at")
+    return _rolling_in_blocks(timed, by, col, width, stat, out, busiest, split_rows).drop("__at")
+
+
+def _rolling_in_blocks(
+    df: DataFrame, by: list[str], col: str, width: int, stat: str, out: str, busiest: int, rows: int
+) -> DataFrame:
+    """Statistic over [``__at`` - width, ``__at``] from three pieces that no task has to hold together.
+
+    The axis is cut into ``per_width`` blocks per frame width, so many that a block has about
+    ``rows`` rows (``busiest``: the most rows in one width). The frame of a row in block b is
+    the part of b up to the row, the whole blocks b-per_width+1 … b-1, and the end of
+    block b-per_width. The first is a running window inside the block; the second runs over one row
+    per block; for the third the row is sent to the older block, shifted by the width, and stands
+    there among the block's own rows. The work is linear, however long the frames are.
     """
-    us = F.col("__us")
-    busiest = df.groupBy(*by, F.floor(us / width).alias("__b")).agg(F.count("*").alias("__n")).agg(F.max("__n")).first()[0]
+    at = F.col("__at")
     per_width = next(m for m in range(max(1, -(-busiest // rows)), width + 1) if width % m == 0)
-    block = F.floor(us / (width // per_width)).cast("bigint")
+    block = F.floor(at / (width // per_width)).cast("bigint")
 
     x = F.col(col).cast("double") if stat in ("mean", "std") else F.col(col)
     centre = df.agg(F.avg(col)).first()[0] if stat == "std" else None
@@ -138,7 +146,7 @@ def _rolling_in_blocks(df: DataFrame, by: list[str], col: str, width: int, stat:
     keys = [*by, "__block"]
     rows_ = df.withColumns({"__block": block, **{f"__x_{p}": v for p, (_, v) in pieces.items()}})
 
-    upto = W.partitionBy(*keys).orderBy("__us").rangeBetween(W.unboundedPreceding, 0)
+    upto = W.partitionBy(*keys).orderBy("__at").rangeBetween(W.unboundedPreceding, 0)
     headed = rows_.withColumns({f"__head_{p}": call[k](f"__x_{p}").over(upto) for p, (k, _) in pieces.items()})
 
     per_block = rows_.groupBy(*keys).agg(*[call[k](f"__x_{p}").alias(f"__x_{p}") for p, (k, _) in pieces.items()])
@@ -150,11 +158,11 @@ def _rolling_in_blocks(df: DataFrame, by: list[str], col: str, width: int, stat:
 
     payload = [c for c in headed.columns if not c.startswith("__x_") and c not in by]
     asking = headed.select(
-        *by, (F.col("__block") - per_width).alias("__block"), (us - width).alias("__us"),
+        *by, (F.col("__block") - per_width).alias("__block"), (at - width).alias("__at"),
         F.struct(*payload).alias("__row"),
     )
-    own = rows_.select(*keys, "__us", *[f"__x_{p}" for p in pieces])
-    after = W.partitionBy(*keys).orderBy(us.desc()).rangeBetween(W.unboundedPreceding, 0)
+    own = rows_.select(*keys, "__at", *[f"__x_{p}" for p in pieces])
+    after = W.partitionBy(*keys).orderBy(at.desc()).rangeBetween(W.unboundedPreceding, 0)
     tailed = asking.unionByName(own, allowMissingColumns=True).withColumns(
         {f"__tail_{p}": call[k](f"__x_{p}").over(after) for p, (k, _) in pieces.items()}
     )

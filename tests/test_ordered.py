@@ -182,6 +182,17 @@ def test_asof_ties(spark):
     assert sorted((r["id"], r["r"]) for r in out.collect()) == [(1, 1), (2, 1), (3, None), (4, None), (5, None)]
 
 
+@pytest.mark.parametrize("stat", sorted(ts_ops.STATS))
+def test_long_frames_in_blocks(spark, monkeypatch, stat):
+    d = skewed(spark)
+    monkeypatch.setattr(ts_ops, "FRAME_ROWS", 10)
+    for split in (1_000_000, 30):
+        got = ts_ops.rolling_rows(d, "k", ORDER, "v", 26, stat, split_rows=split)
+        assert rows(got) == rows(ts_ops.rolling_rows(d, "k", ORDER, "v", 26, stat, split_rows=None))
+        got = ts_ops.rolling_time(d, "k", "ts", "v", 9_000, stat, split_rows=split)
+        assert rows(got) == rows(ts_ops.rolling_time(d, "k", "ts", "v", 9_000, stat, split_rows=None))
+
+
 def test_random_seeds_ewm(spark):
     rng = random.Random(5)
     data = [(i, rng.uniform(-1, 1)) for i in range(3_000)]
