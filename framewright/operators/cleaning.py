@@ -15,33 +15,33 @@ def profile(
 ) -> DataFrame:
     """One row per numeric column: count, nulls, distinct, min, max, mean, std, quartiles.
 
-    The exact form unpivots the columns, so one count per (column, value) feeds
-    both the distinct count and the quartiles. ``exact=False`` uses sketches and
-    needs a single pass without that shuffle.
+    Plain statistics take one pass without a shuffle. For the exact form the columns
+    are unpivoted and one count per (column, value) feeds both the distinct count and the
+    quartiles; ``exact=False`` uses sketches and stays with the single pass.
     """
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
-        [], list(cols), "column", "value"
-    )
-    basics = [
-        F.count("value").alias("count"),
-        F.sum(F.col("value").isNull().cast("bigint")).alias("nulls"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-    ]
+    simple = {
+        "count": F.count,
+        "nulls": lambda c: F.count("*") - F.count(c),
+        "min": F.min,
+        "max": F.max,
+        "mean": F.avg,
+        "std": F.stddev_samp,
+    }
     if not exact:
-        quartiles = F.percentile_approx("value", [0.25, 0.5, 0.75], 10_000)
-        return (
-            long.groupBy("column")
-            .agg(*basics, F.approx_count_distinct("value", 0.02).alias("distinct"), quartiles.alias("__q"))
-            .select("*", *[F.col("__q")[i].alias(n) for i, n in enumerate(("q25", "q50", "q75"))])
-            .drop("__q")
-        )
-    quartiles = quantile_table(long, "value", [0.25, 0.5, 0.75], "column", split_rows).select(
-        "column", "distinct", F.col("q0").alias("q25"), F.col("q1").alias("q50"), F.col("q2").alias("q75")
-    )
-    return join_on(long.groupBy("column").agg(*basics), quartiles, "column").withColumn(
+        simple["distinct"] = lambda c: F.approx_count_distinct(c, 0.02)
+        for name, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75)):
+            simple[name] = lambda c, p=p: F.percentile_approx(c, p, 10_000)
+    typed = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    wide = typed.agg(*[F.struct(*[f(c).alias(n) for n, f in simple.items()]).alias(c) for c in cols])
+    basics = wide.select(
+        F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"{c}.*")) for c in cols])).alias("s")
+    ).select("s.*")
+    if not exact:
+        return basics
+    quartiles = quantile_table(
+        typed.unpivot([], list(cols), "column", "value"), "value", [0.25, 0.5, 0.75], "column", split_rows
+    ).select("column", "distinct", F.col("q0").alias("q25"), F.col("q1").alias("q50"), F.col("q2").alias("q75"))
+    return join_on(basics, quartiles, "column").withColumn(
         "distinct", F.coalesce("distinct", F.lit(0).cast("bigint"))
     )
 

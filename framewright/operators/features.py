@@ -21,8 +21,8 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, functions as F
 
 from framewright.functions.exprs import attach, join_on, names
-from framewright.operators.ordered import quantile_table
-from framewright.operators.timeseries import rank_by
+from framewright.operators.ordered import hot_keys, quantile_table
+from framewright.operators.timeseries import rank_table
 
 # a token is a run of letters of any script
 TOKEN_BREAK = r"[^\p{L}]+"
@@ -85,9 +85,12 @@ class RobustScaler(Estimator, HasInputCols, HasOutputCol, DefaultParamsReadable,
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
-        scaled, exprs = [], []
-        for i, c in enumerate(self.getInputCols()):
-            q25, q50, q75 = quantile_table(dataset, c, [0.25, 0.5, 0.75]).select("q0", "q1", "q2").first()
+        scaled, exprs, cols = [], [], self.getInputCols()
+        long = dataset.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column", "value")
+        # one row per input column
+        quartiles = {r["column"]: r for r in quantile_table(long, "value", [0.25, 0.5, 0.75], "column").collect()}
+        for i, c in enumerate(cols):
+            q25, q50, q75 = (quartiles[c][q] for q in ("q0", "q1", "q2"))
             width = (q75 - q25) or 1.0
             scaled.append(f"{self.getOutputCol()}__{i}")
             exprs.append(f"(CAST(`{c}` AS DOUBLE) - ({q50!r}D)) / ({width!r}D) AS `{scaled[-1]}`")
@@ -232,8 +235,10 @@ def correlation(df: DataFrame, cols: Sequence[str], method: str = "pearson") ->
     """
     rows = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
     if method == "spearman":
-        for c in cols:
-            rows = rank_by(rows, None, c, "average", out="__rank").withColumn(c, F.col("__rank")).drop("__rank")
+        hot = hot_keys(rows, None)
+        ranks = {c: rank_table(rows, None, c, out="__rank", hot=hot) for c in cols}
+        for c, table in ranks.items():
+            rows = join_on(rows, table, c).withColumn(c, F.col("__rank")).drop("__rank")
     elif method != "pearson":
         raise ValueError(f"unknown correlation {method!r}")
     vectors = VectorAssembler(inputCols=list(cols), outputCol="__v").transform(rows).select("__v")

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from framewright.functions.exprs import join_on, micros, names
-from framewright.operators.ordered import SPLIT_ROWS, hot_keys, near_rows, positions, scan
+from framewright.operators.ordered import SPLIT_ROWS, Hot, hot_keys, near_rows, positions, scan
 
 STATS = {
     "sum": F.sum, "mean": F.avg, "min": F.min, "max": F.max, "std": F.stddev_samp, "count": F.count,
@@ -40,13 +40,22 @@ def rank_by(
             by, ["__gone", col, *ties], out, split_rows=split_rows,
         )
         return known.withColumn(out, F.when(F.col("__gone") == 0, F.col(out)).cast("double")).drop("__gone")
+    return join_on(df, rank_table(df, by, col, method, out, split_rows), [*by, col])
+
+
+def rank_table(
+    df: DataFrame, by, col: str, method: str = "average", out: str = "rank",
+    split_rows: int | None = SPLIT_ROWS, hot: Hot | None = None,
+) -> DataFrame:
+    """The rank of every distinct value of ``col`` in its group: by…, col, rank."""
+    by = names(by)
     known = df.where(F.col(col).isNotNull())
     counts = (
         known.groupBy(*by, col).agg(F.count("*").alias("__c")).withColumn("__one", F.lit(1).cast("bigint"))
     )
     ranked = scan(
         counts, by, col, {"__upto": ("sum", "__c"), "__dense": ("sum", "__one")},
-        hot=hot_keys(known, by, split_rows),
+        hot=hot_keys(known, by, split_rows) if hot is None else hot,
     )
     rank = {
         "min": F.col("__upto") - F.col("__c") + 1,
@@ -54,7 +63,7 @@ def rank_by(
         "average": F.col("__upto") - (F.col("__c") - 1) / F.lit(2.0),
         "dense": F.col("__dense"),
     }[method]
-    return join_on(df, ranked.select(*by, col, rank.cast("double").alias(out)), [*by, col])
+    return ranked.select(*by, col, rank.cast("double").alias(out))
 
 
 def shift_diff(
