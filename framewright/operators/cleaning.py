@@ -13,7 +13,8 @@ from framewright.operators.ordered import SPLIT_ROWS, attach_split, hot_keys, qu
 def profile(
     df: DataFrame, cols: Sequence[str], exact: bool = True, split_rows: int | None = SPLIT_ROWS
 ) -> DataFrame:
-    """One row per numeric column: count, nulls, distinct, min, max, mean, std, quartiles.
+    """One row per numeric column: count, nulls, distinct, min, max, mean, std, quartiles
+    (no rows for an empty table).
 
     Plain statistics take one pass without a shuffle. For the exact form the columns
     are unpivoted and one count per (column, value) feeds both the distinct count and the
@@ -35,7 +36,7 @@ def profile(
     wide = typed.agg(*[F.struct(*[f(c).alias(n) for n, f in simple.items()]).alias(c) for c in cols])
     basics = wide.select(
         F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"{c}.*")) for c in cols])).alias("s")
-    ).select("s.*")
+    ).select("s.*").where(F.col("count") + F.col("nulls") > 0)
     if not exact:
         return basics
     quartiles = quantile_table(
