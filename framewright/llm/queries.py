@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, functions as F
 
+from framewright.llm.chat import canonical_turns, format_turns, read_back
+from framewright.llm.decontaminate import contaminated, find_benchmark
 from framewright.llm.lines import drop_repeated_lines
+from framewright.llm.packing import pack
+from framewright.llm.quality import quality
+from framewright.llm.tokens import count_tokens
+from framewright.llm.warc import normalise, page_of, read_records, write_archives
 from framewright.registry import Tables, query
 
 
@@ -21,3 +28,98 @@ from framewright.registry import Tables, query
 def op1_line_dedup(t: Tables) -> DataFrame:
     out = drop_repeated_lines(t("documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op3_token_counts")
+def op3_token_counts(t: Tables) -> DataFrame:
+    out = count_tokens(t("documents").select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
+    return out.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+#: Word windows by SQL: words of documents and items, windows of 13 words (or of a whole shorter item), equal keys.
+_WORDS = r"""regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+
+@query("op6_decontaminate", f"""
+    with b as (select cast(item_id as varchar) as item, {_WORDS.format("text")} as w from benchmark),
+    bn as (select *, least(len(w), 13) as m from b where len(w) > 0),
+    bw as (select distinct item, m, array_to_string(w[i:i + m - 1], ' ') as key
+        from (select *, unnest(range(1, len(w) - m + 2)) as i from bn)),
+    d as (select doc_id, {_WORDS.format("coalesce(text, '')")} as w from documents),
+    dw as (select doc_id, i, m, array_to_string(w[i:i + m - 1], ' ') as key
+        from (select doc_id, w, m, unnest(range(1, len(w) - m + 2)) as i from d, (select distinct m from bn))),
+    hit as (select doc_id, item, i, dw.m from dw join bw on dw.key = bw.key and dw.m = bw.m),
+    words as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(i, i + m)) as p from hit) group by doc_id),
+    items as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as names
+        from (select distinct doc_id, item from hit) group by doc_id)
+    select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+        sha256(coalesce(names, '')) as items_sha256,
+        coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+    from d left join words using (doc_id) left join items using (doc_id)""")
+def op6_decontaminate(t: Tables) -> DataFrame:
+    out = find_benchmark(t("documents").select("doc_id", "text"), t("benchmark"))
+    found = F.col("found")
+    return out.select(
+        "doc_id", found.n_words.alias("n_words"), found.n_hit.alias("n_hit"),
+        F.size(found.getField("items")).cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(found.getField("items"), ","), 256).alias("items_sha256"),
+        contaminated().alias("contaminated"),
+    )
+
+
+@query("op8_packing")
+def op8_packing(t: Tables) -> DataFrame:
+    return pack(
+        t("documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1, with_ids=False
+    ).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+@query("op2_warc", """
+    with d as (select page_id, strlen(coalesce(html, '')) as n, sha256(coalesce(html, '')) as g from pages),
+    f as (select g, min(page_id) as k from d where n >= 100 group by g)
+    select page_id, n as payload_bytes, d.g as payload_digest,
+        case when page_id > k then 'revisit' else 'response' end as record_type,
+        case when page_id > k then k end as refers_to
+    from d left join f on d.g = f.g and d.n >= 100""")
+def op2_warc(t: Tables) -> DataFrame:
+    files = write_archives(t("pages"))
+    out = read_records(normalise(files), with_payload=False)
+    return out.select(
+        page_of("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        page_of("refers_to").alias("refers_to"),
+    )
+
+
+_ESCAPE = (
+    r"(<|\[)(\\*)(\|im_start\|>|\|im_end\|>|\|startoftext\|>|\|endoftext\|>|s>|/s>|unk>|pad>|INST\]|/INST\]|<SYS>>|</SYS>>)"
+)
+
+
+@query("op7_chat_format", f"""
+    with c as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+        union all select -7, unnest([0, 1]), unnest(['user', 'assistant']), '</s>[INST] ok [/INST]'),
+    e as (select *, regexp_replace(text, '{_ESCAPE}', '\\1\\\\\\2\\3', 'g') as said from c)
+    select conv_id, count(*) as n_turns,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+        cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+        sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+        cast(sum(length('<|im_start|>') + length(role) + 1 + length(said) + length('<|im_end|>') + 1) as bigint) as formatted_chars
+    from e group by conv_id""")
+def op7_chat_format(t: Tables) -> DataFrame:
+    rows = t("conversations").select("conv_id", "turn", "role", "text")
+    added = rows.sparkSession.createDataFrame(
+        [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")],
+        "conv_id bigint, turn bigint, role string, text string",
+    )
+    records = rows.unionByName(added).select(
+        "conv_id", F.to_json(F.struct("turn", "role", "text"), {"ignoreNullFields": "false"}).alias("record")
+    )
+    out = read_back(format_turns(canonical_turns(records, "record", "conv_id")))
+    return out.select(F.col("id").cast("bigint").alias("conv_id"), *[c for c in out.columns if c != "id"])
+
+
+@query("op9_quality_rules")
+def op9_quality_rules(t: Tables) -> DataFrame:
+    out = quality(t("documents").select("doc_id", "text"), t("labels").where("quality = 1"))
+    return out.drop("text")
