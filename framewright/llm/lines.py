@@ -9,7 +9,13 @@ from framewright.llm.common import LOWER, SPACE, UPPER, text_key
 
 def line_keys(text: Column) -> Column:
     """Array of the keys of a text's lines: outer white space cut, A-Z in lower case."""
-    return F.transform(F.split(text, "\n"), lambda x: F.translate(F.btrim(x, F.lit(SPACE)), UPPER, LOWER))
+
+    def key(line: Column) -> Column:
+        cut = F.btrim(line, F.lit(SPACE))
+        only_ascii = F.octet_length(cut) == F.length(cut)
+        return F.when(only_ascii, F.lower(cut)).otherwise(F.translate(cut, UPPER, LOWER))
+
+    return F.transform(F.split(text, "\n"), key)
 
 
 def drop_repeated_lines(
@@ -36,7 +42,8 @@ def drop_repeated_lines(
     rows = df.select("*", row[0].alias("__fw_r1"), row[1].alias("__fw_r2"))
 
     keyed = rows.select("__fw_r1", "__fw_r2", F.col(doc_id).alias("__fw_id"), line_keys(one).alias("__fw_keys"))
-    lines = keyed.select("__fw_r1", "__fw_r2", "__fw_id", F.posexplode("__fw_keys").alias("__fw_pos", "__fw_key"))
+    # the outer form: a text has one line at least, and Spark would compute the keys once more to filter empty arrays
+    lines = keyed.select("__fw_r1", "__fw_r2", "__fw_id", F.posexplode_outer("__fw_keys").alias("__fw_pos", "__fw_key"))
     lines = lines.where(F.length("__fw_key") >= min_chars)
     h = text_key("__fw_key")
     lines = lines.select("__fw_r1", "__fw_r2", "__fw_id", "__fw_pos", h[0].alias("__fw_h1"), h[1].alias("__fw_h2"))
