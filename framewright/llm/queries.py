@@ -11,6 +11,7 @@ from framewright.llm.lines import drop_repeated_lines
 from framewright.llm.packing import pack
 from framewright.llm.quality import quality
 from framewright.llm.tokens import count_tokens
+from framewright.llm.toxicity import fit, held_out, score
 from framewright.llm.warc import normalise, page_of, read_records, write_archives
 from framewright.registry import Tables, query
 
@@ -123,3 +124,11 @@ def op7_chat_format(t: Tables) -> DataFrame:
 def op9_quality_rules(t: Tables) -> DataFrame:
     out = quality(t("documents").select("doc_id", "text"), t("labels").where("quality = 1"))
     return out.drop("text")
+
+
+@query("op5_toxicity")
+def op5_toxicity(t: Tables) -> DataFrame:
+    docs = t("documents").select("doc_id", "text")
+    model = fit(docs, t("labels").where(~held_out()))
+    out = score(docs, model)
+    return out.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
