@@ -7,13 +7,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 from framewright.llm.common import SPACE
 
 SPLIT = r"[\x20\x09-\x0D]+"
-SYMBOLS = "#*$%&|<>"
-#: Tokens of the model: runs of ASCII punctuation, runs of anything else but white space.
-TOKEN = r"[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+|[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+|[0-9]+"
+SYMBOLS = r"[#*$%&|<>]"
+#: Letters of a word's end that the model sees.
+ENDING = 3
 
 
-def tail(array: str, start: int, length: Column) -> Column:
-    return F.slice(array, F.lit(start), length)
+def with_words(df: DataFrame, text: str) -> DataFrame:
+    """``df`` with ``__fw_text`` and ``__fw_words``, its runs without ASCII white space."""
+    out = df.withColumn("__fw_text", F.coalesce(F.col(text), F.lit("")))
+    return out.withColumn("__fw_words", F.array_remove(F.split("__fw_text", SPLIT), ""))
 
 
 def base_rules(df: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
@@ -25,23 +27,21 @@ def base_rules(df: DataFrame, text: str = "text", prefix: str = "") -> DataFrame
     base_failed: fewer than 50 words, or more than half of them repeated. NULL counts as an empty text.
     Names starting with ``__fw_`` are reserved; columns that have a new name already are replaced.
     """
-    space, zero = F.lit(SPACE), F.lit(0)
-    out = df.withColumn("__fw_text", F.coalesce(F.col(text), F.lit("")))
-    out = out.withColumn("__fw_trim", F.btrim("__fw_text", space))
-    out = out.withColumn("__fw_words", F.when(F.col("__fw_trim") == "", F.array().cast("array<string>")).otherwise(F.split("__fw_trim", SPLIT)))
-    lines = F.filter(F.split("__fw_text", "\n"), lambda x: F.btrim(x, space) != "")
+    zero = F.lit(0)
+    out = df if "__fw_words" in df.columns else with_words(df, text)
+    lines = F.filter(F.split("__fw_text", "\n"), lambda x: F.btrim(x, F.lit(SPACE)) != "")
+    windows = F.transform(
+        "__fw_words", lambda w, i: F.xxhash64(w, F.get("__fw_words", i + 1), F.get("__fw_words", i + 2))
+    )
     out = out.withColumns({
         "__fw_n": F.size("__fw_words"),
-        "__fw_chars": F.length(F.translate("__fw_text", SPACE, "")),
-        "__fw_symbols": F.length("__fw_text") - F.length(F.translate("__fw_text", SYMBOLS, "")),
+        "__fw_chars": F.aggregate("__fw_words", zero, lambda total, w: total + F.length(w)),
+        "__fw_symbols": F.regexp_count("__fw_text", F.lit(SYMBOLS)),
         "__fw_lines": lines,
+        "__fw_all": windows,
     })
-    n = F.greatest(F.col("__fw_n") - 2, zero)
-    triples = F.arrays_zip(
-        tail("__fw_words", 1, n).alias("a"), tail("__fw_words", 2, n).alias("b"), tail("__fw_words", 3, n).alias("c")
-    )
-    out = out.withColumn("__fw_dup", F.size("__fw_lines") - F.size(F.array_distinct("__fw_lines")))
-    out = out.withColumn("__fw_hash", F.transform(triples, lambda z: F.xxhash64(z["a"], z["b"], z["c"]))).drop("__fw_lines")
+    whole = F.slice("__fw_all", F.lit(1), F.greatest(F.col("__fw_n") - 2, zero))
+    out = out.withColumns({"__fw_dup": F.size("__fw_lines") - F.size(F.array_distinct("__fw_lines")), "__fw_hash": whole})
     again = F.size(F.array_distinct("__fw_hash")) < F.size("__fw_hash")
     nothing = F.array().cast("array<struct<h: bigint, i: int>>")
     out = out.withColumn("__fw_sorted", F.when(again, F.sort_array(F.transform("__fw_hash", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))).otherwise(nothing))
@@ -69,17 +69,14 @@ def base_rules(df: DataFrame, text: str = "text", prefix: str = "") -> DataFrame
     )
 
 
-def with_grams(df: DataFrame, text: str, buckets: int) -> DataFrame:
-    """``df`` with ``__fw_grams``: buckets of the hashed 1-grams and 2-grams of the text's tokens."""
-    tokens = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(TOKEN), F.lit(0))
-    out = df.withColumn("__fw_tokens", tokens)
-    after = F.slice("__fw_tokens", F.lit(2), F.greatest(F.size("__fw_tokens") - 1, F.lit(0)))
-    before = F.slice("__fw_tokens", F.lit(1), F.greatest(F.size("__fw_tokens") - 1, F.lit(0)))
-    pairs = F.arrays_zip(before.alias("a"), after.alias("b"))
-    in_bucket = lambda h: F.pmod(h, F.lit(buckets)).cast("int")
-    one = F.transform("__fw_tokens", lambda t: in_bucket(F.xxhash64(t)))
-    two = F.transform(pairs, lambda z: in_bucket(F.xxhash64(z["a"], z["b"])))
-    return out.withColumn("__fw_grams", F.concat(one, two)).drop("__fw_tokens")
+def with_grams(df: DataFrame, buckets: int) -> DataFrame:
+    """``df`` with ``__fw_grams``: buckets of the hashed 1-grams and 2-grams of the endings of ``__fw_words``."""
+    in_bucket = lambda h: F.pmod(h, F.lit(buckets))
+    out = df.withColumn("__fw_ends", F.transform("__fw_words", lambda w: F.xxhash64(F.right(w, F.lit(ENDING)))))
+    pairs = F.transform("__fw_ends", lambda h, i: in_bucket(F.xxhash64(h, F.get("__fw_ends", i + 1))))
+    ones = F.transform("__fw_ends", in_bucket)
+    n = F.greatest(F.size("__fw_ends") - 1, F.lit(0))
+    return out.withColumn("__fw_pairs", pairs).withColumn("__fw_grams", F.concat(ones, F.slice("__fw_pairs", F.lit(1), n))).drop("__fw_pairs", "__fw_ends")
 
 
 def log_ratios(df: DataFrame, trusted_ids: DataFrame, doc_id: str, text: str, buckets: int) -> DataFrame:
@@ -90,7 +87,8 @@ def log_ratios(df: DataFrame, trusted_ids: DataFrame, doc_id: str, text: str, bu
     """
     ids = trusted_ids.select(F.col(doc_id).alias("__fw_id")).where(F.col("__fw_id").isNotNull()).distinct()
     marked = df.select(F.col(doc_id).alias("__fw_d"), F.col(text).alias("__fw_t")).join(ids, F.col("__fw_d") == F.col("__fw_id"), "left")
-    marked = with_grams(marked.select("__fw_t", F.col("__fw_id").isNotNull().cast("int").alias("__fw_good")), "__fw_t", buckets)
+    marked = marked.select("__fw_t", F.col("__fw_id").isNotNull().cast("int").alias("__fw_good"))
+    marked = with_grams(with_words(marked, "__fw_t"), buckets)
     counts = (
         # the outer form: Spark would compute the grams several times more to filter empty arrays
         marked.select("__fw_good", F.explode_outer("__fw_grams").alias("bucket")).where("bucket is not null")
@@ -110,7 +108,8 @@ def quality(
 ) -> DataFrame:
     """``df`` with the columns of ``base_rules``, ``llr`` and ``kept``.
 
-    ``llr`` is the mean over a document's hashed 1-grams and 2-grams of log(share of the gram's bucket in trusted
+    The model sees the last ``ENDING`` characters of each word, case and marks included, as hashed 1-grams and 2-grams.
+    ``llr`` is the mean over a document's grams of log(share of the gram's bucket in trusted
     documents / share in all documents). A document is kept if no base rule fails and ``llr`` is ``least`` or more,
     a fixed threshold: the same document with the same counts always gets the same verdict. The weights, at most
     ``buckets`` numbers, are one array that every task gets.
@@ -121,7 +120,8 @@ def quality(
     weights = dict(map(tuple, log_ratios(df, trusted_ids, doc_id, text, buckets).collect()))  # at most ``buckets`` rows
     lookup = F.split(F.lit(",".join(repr(weights.get(b, 0.0)) for b in range(buckets))), ",").cast("array<double>")
 
-    out = with_grams(base_rules(df, text, prefix), text, buckets)
+    words = with_grams(with_words(df, text), buckets)
+    out = base_rules(words, text, prefix)
     total = F.aggregate("__fw_grams", F.lit(0.0), lambda s, g: s + F.get(lookup, g))
     out = out.withColumn("__fw_size", F.size("__fw_grams")).withColumn("__fw_sum", total)
     llr = F.when(F.col("__fw_size") > 0, F.col("__fw_sum") / F.col("__fw_size")).otherwise(0.0)
