@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from framewright.llm.chat import canonical_turns, format_turns, read_back
 from framewright.llm.decontaminate import contaminated, find_benchmark
+from framewright.llm.html import extract_text
 from framewright.llm.lines import drop_repeated_lines
 from framewright.llm.packing import pack
 from framewright.llm.quality import quality
@@ -132,3 +133,8 @@ def op5_toxicity(t: Tables) -> DataFrame:
     model = fit(docs, t("labels").where(~held_out()))
     out = score(docs, model)
     return out.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op4_html_text")
+def op4_html_text(t: Tables) -> DataFrame:
+    return extract_text(t("pages"))
