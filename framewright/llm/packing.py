@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import struct
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -14,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from framewright.llm.common import slices, written
-from framewright.llm.tokens import Remembered, balanced, tokenizer
+from framewright.llm.tokens import Recent, remembered, tokenizer
 
 PIECES = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
@@ -30,24 +31,24 @@ COUNTER_BITS = 40
 
 
 @lru_cache(maxsize=4)
-def piece_ids(path: str) -> Remembered:
+def piece_ids(path: str) -> Recent:
     """Ids of pieces without spaces, as little-endian unsigned 32-bit numbers."""
     tok = tokenizer(path)
-    return Remembered(
-        lambda run: [np.asarray(e.ids, "<u4").tobytes() for e in tok.encode_batch(run, add_special_tokens=False)]
+    packed = lambda ids: struct.pack(f"<{len(ids)}I", *ids)
+    return remembered(
+        path, lambda run: [packed(e.ids) for e in tok.encode_batch(run, add_special_tokens=False)],
+        packed, b"".join,
     )
 
 
 def text_ids(path: str, texts: list[str]) -> Iterator[bytes]:
-    """Ids of each text, for a tokenizer that drops white space: spaces and line feeds
-    separate its words, so the words between them are encoded once each and put together."""
+    """Ids of each text, for a tokenizer that drops white space. Each word is encoded once and remembered; where a text
+    is not all Latin, that holds for the pieces between spaces and line feeds, which separate words in any text."""
     known = piece_ids(path)
-    for run in balanced(texts):
-        cut = [t.replace("\n", " ").split(" ") for t in run]
-        once = known.add(p for pieces in cut for p in pieces)
-        get = known.__getitem__ if not once else lambda p: once[p] if p in once else known[p]
-        for pieces in cut:
-            yield b"".join(map(get, pieces))
+    at_once = getattr(known.encode, "text", lambda text: None)
+    for text in texts:
+        ids = at_once(text)
+        yield b"".join(map(known.__getitem__, text.replace("\n", " ").split(" "))) if ids is None else ids
 
 
 class Packer:
