@@ -19,7 +19,7 @@ def line_keys(text: Column) -> Column:
 
 
 def drop_repeated_lines(
-    df: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = 20, min_docs: int = 3
+    df: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = 20, min_docs: int = 3, prefix: str = ""
 ) -> DataFrame:
     """Rows of ``df`` without the lines that many documents share, and what was dropped.
 
@@ -35,7 +35,8 @@ def drop_repeated_lines(
 
     NULL or empty text: one empty line, kept. A NULL id never counts as a document and never keeps
     a shared line. Rows with the same id are one document, each row is cut by itself. An empty
-    table gives no rows. Other columns pass through unchanged; names starting with ``__fw_`` are reserved.
+    table gives no rows. Other columns pass through; those that have a new name already are replaced, which
+    ``prefix`` avoids. Names starting with ``__fw_`` are reserved.
     """
     one = F.coalesce(F.col(text), F.lit(""))
     row = text_key(F.coalesce(F.col(doc_id).cast("string"), F.lit("\0")), one)
@@ -68,9 +69,9 @@ def drop_repeated_lines(
     kept = F.when(F.col("__fw_drop").isNull(), F.coalesce(F.col(text), F.lit(""))).otherwise(
         F.array_join(F.transform(positions, lambda i: F.get(parts, i)), "\n")
     )
-    return out.select(
-        *[F.col(c) for c in df.columns if c not in ("n_lines", "n_dropped", "kept")],
-        F.size(parts).cast("long").alias("n_lines"),
-        F.coalesce(F.size("__fw_drop"), F.lit(0)).cast("long").alias("n_dropped"),
-        kept.alias("kept"),
-    )
+    made = {
+        f"{prefix}n_lines": F.size(parts).cast("long"),
+        f"{prefix}n_dropped": F.coalesce(F.size("__fw_drop"), F.lit(0)).cast("long"),
+        f"{prefix}kept": kept,
+    }
+    return out.select(*[F.col(c) for c in df.columns if c not in made], *[v.alias(k) for k, v in made.items()])

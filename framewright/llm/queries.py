@@ -9,6 +9,7 @@ from framewright.llm.chat import canonical_turns, format_turns, read_back
 from framewright.llm.decontaminate import contaminated, find_benchmark
 from framewright.llm.html import extract_text
 from framewright.llm.lines import drop_repeated_lines
+from framewright.llm.neardup import near_duplicates
 from framewright.llm.packing import pack
 from framewright.llm.quality import quality
 from framewright.llm.tokens import count_tokens
@@ -138,3 +139,8 @@ def op5_toxicity(t: Tables) -> DataFrame:
 @query("op4_html_text")
 def op4_html_text(t: Tables) -> DataFrame:
     return extract_text(t("pages"))
+
+
+@query("op10_minhash_near_dedup")
+def op10_minhash_near_dedup(t: Tables) -> DataFrame:
+    return near_duplicates(t("documents").select("doc_id", "text")).select("doc_id", "class_id", "class_size", "kept")
