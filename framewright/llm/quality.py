@@ -64,9 +64,14 @@ def base_rules(df: DataFrame, text: str = "text", prefix: str = "") -> DataFrame
         "base_failed": (words < 50) | (100 * F.col("__fw_rep") > 50 * words),
     }
     out = out.withColumn("__fw_rep", repeated)
-    return out.select(
-        *[F.col(c) for c in df.columns if c not in {prefix + k for k in made}], *[v.alias(prefix + k) for k, v in made.items()]
-    )
+    return finished(out, df.columns, {prefix + k: v for k, v in made.items()})
+
+
+def finished(df: DataFrame, rest: list[str], made: dict[str, Column]) -> DataFrame:
+    """``rest`` and the columns of ``made``, which come out of a generator of one row: Spark would otherwise push a later
+    filter on them down into the expressions, and compute these many times over."""
+    row = F.inline(F.array(F.struct(*[v.alias(k) for k, v in made.items()])))
+    return df.select(*[F.col(c) for c in rest if c not in made], row)
 
 
 def with_grams(df: DataFrame, buckets: int) -> DataFrame:
@@ -86,6 +91,7 @@ def log_ratios(df: DataFrame, trusted_ids: DataFrame, doc_id: str, text: str, bu
     count a bucket. The result has at most ``buckets`` rows. Without trusted documents every weight is 0.
     """
     ids = trusted_ids.select(F.col(doc_id).alias("__fw_id")).where(F.col("__fw_id").isNotNull()).distinct()
+    ids = ids.hint("merge")  # the same plan at every size
     marked = df.select(F.col(doc_id).alias("__fw_d"), F.col(text).alias("__fw_t")).join(ids, F.col("__fw_d") == F.col("__fw_id"), "left")
     marked = marked.select("__fw_t", F.col("__fw_id").isNotNull().cast("int").alias("__fw_good"))
     marked = with_grams(with_words(marked, "__fw_t"), buckets)
@@ -125,6 +131,7 @@ def quality(
     total = F.aggregate("__fw_grams", F.lit(0.0), lambda s, g: s + F.get(lookup, g))
     out = out.withColumn("__fw_size", F.size("__fw_grams")).withColumn("__fw_sum", total)
     llr = F.when(F.col("__fw_size") > 0, F.col("__fw_sum") / F.col("__fw_size")).otherwise(0.0)
-    rest = [c for c in out.columns if not c.startswith("__fw_") and c not in (f"{prefix}llr", f"{prefix}kept")]
     out = out.withColumn("__fw_llr", llr)
-    return out.select(*rest, F.col("__fw_llr").alias(f"{prefix}llr"), (~F.col(f"{prefix}base_failed") & (F.col("__fw_llr") >= least)).alias(f"{prefix}kept"))
+    kept = ~F.col(f"{prefix}base_failed") & (F.col("__fw_llr") >= least)
+    rest = [c for c in out.columns if not c.startswith("__fw_")]
+    return finished(out, rest, {f"{prefix}llr": F.col("__fw_llr"), f"{prefix}kept": kept})
