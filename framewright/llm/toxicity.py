@@ -21,7 +21,7 @@ LONGEST = 24
 #: Lengths of the parts of units that landmarks are chosen from.
 PARTS = range(4, 9)
 #: Units remembered per Python worker. It bounds memory only.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 
 def runs(numbers: list[int]) -> Iterator[tuple[int, int]]:
@@ -115,6 +115,8 @@ class Landmarks:
 
     def against(self, strings: list[str], project: np.ndarray) -> np.ndarray:
         """k(string, landmark) @ project for each string."""
+        if len(strings) > 5_000:
+            return np.concatenate([self.against(strings[i:i + 5_000], project) for i in range(0, len(strings), 5_000)])
         rows = self.table @ project
         out = np.zeros((len(strings), *rows.shape[1:]))
         if not strings or not len(self.codes):
@@ -151,8 +153,8 @@ class Model:
             self.known.clear()
         known = self.known
         new = list(set().union(*found) - known.keys())
-        for i in range(0, len(new), 20_000):
-            part = new[i:i + 20_000]
+        for i in range(0, len(new), 5_000):
+            part = new[i:i + 5_000]
             known.update(zip(part, (self.landmarks.against(part, self.alpha) + self.bias).tolist()))
         return [max(map(known.__getitem__, us), default=-np.inf) for us in found]
 
@@ -268,7 +270,7 @@ def choose_landmarks(sample: DataFrame, kernel: Kernel, landmarks: int) -> tuple
     parts = parts.groupBy("p").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
     gain = F.col("t") * (F.log((F.col("t") + 0.5) / toxic) - F.log((F.col("c") + 0.5) / clean))
     top = parts.select("p", gain.alias("gain")).where("gain > 0").orderBy(F.desc("gain"), F.desc(F.length("p")), "p")
-    gains = dict(map(tuple, top.limit(16 * landmarks).collect()))
+    gains = dict(map(tuple, top.limit(4 * landmarks).collect()))
     likely = list(gains)
     usual = [r["u"] for r in seen.where("t <= c and length(u) > 4").orderBy(F.desc("c"), "u").limit(2 * landmarks).collect()]
 
