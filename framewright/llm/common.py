@@ -56,8 +56,10 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     """(node, root) for every node of the undirected ``edges`` (u, v); root is the smallest
     node that can be reached. Large-star and small-star steps in turn: each links nodes to the smallest
     neighbour, so the number of steps grows with the logarithm of the longest chain.
-    Only counts and sums reach the driver; every step is written to the shared folder.
+    Only counts and sums reach the driver; every step is written to the shared folder, in as many
+    partitions as its edges need.
     """
+    parts = 8
 
     def star(e: DataFrame, larger: bool) -> DataFrame:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -65,12 +67,12 @@ def components(edges: DataFrame, name: str) -> DataFrame:
             both = both.where("v < u")
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(
             F.col("u").alias("w"), F.least("m", "u").alias("m")
-        )
-        linked = both.join(least, F.col("u") == F.col("w"))
+        ).coalesce(parts)
+        linked = both.join(least, F.col("u") == F.col("w")).coalesce(parts)
         out = linked.where("v > u" if larger else "v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         if not larger:
             out = out.union(least.select(F.col("w").alias("u"), F.col("m").alias("v")))
-        return out.where("u <> v").distinct()
+        return out.where("u <> v").distinct().coalesce(parts)
 
     def state(e: DataFrame):
         return e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -79,6 +81,7 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), name
     )
     seen = state(edges)
+    parts = max(8, -(-seen[0] // 250_000))
     while seen[0]:
         edges = written(star(star(edges, True), False), name)
         now = state(edges)
