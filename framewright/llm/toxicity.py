@@ -40,11 +40,11 @@ def runs(numbers: list[int]) -> Iterator[tuple[int, int]]:
 def units(text: str) -> set[str]:
     """The different units of a text: its white-space separated words in lower case, letters only, between ^ and $.
 
-    A row of single characters, as in a word spelt with gaps, is one unit. Runs longer than ``LONGEST`` letters are cut
+    A row of single letters, each with a mark at most, as in a word spelt with gaps, is one unit. Runs longer than ``LONGEST`` letters are cut
     into overlapping parts, so every stretch of half that length lies whole in one of them."""
     words = text.lower().split()
     out = set(words)
-    alone = [i for i, w in enumerate(words) if len(w) == 1]
+    alone = [i for i, w in enumerate(words) if len(w) < 3 and (len(w) == 1 or w[0].isalpha() != w[1].isalpha())]
     for first, last in runs(alone):
         out.add("".join(words[first:last + 1]))
     plain = {w if w.isalpha() else "".join(LETTERS.findall(w)) for w in out}
