@@ -51,14 +51,21 @@ def gram(df: DataFrame, vec: str, centered: bool = False) -> DataFrame:
 
     Each task adds its rows up in one d × d array and sends that many numbers, so
     the shuffle is independent of the number of rows. The vector length is the
-    only bound on memory.
+    only bound on memory. For covariances a first pass takes the means, one number for each
+    coordinate, and the second adds up products of what is left, so large means do not cancel.
     """
+    known = df.where(F.col(vec).isNotNull()).select(as_doubles(vec).alias("v"))
+    means = None
+    if centered:
+        each = known.select(F.posexplode_outer("v").alias("i", "x")).where("i is not null").groupBy("i").agg(F.avg("x").alias("m"))
+        means = np.array([r["m"] for r in each.orderBy("i").collect()])  # as many as a vector has coordinates
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cells, sums, n = None, None, 0
         for pdf in batches:
             if len(pdf):
                 x = np.asarray(pdf["v"].tolist(), dtype=float)
+                x = x if means is None else x - means
                 cells = x.T @ x if cells is None else cells + x.T @ x
                 sums = x.sum(axis=0) if sums is None else sums + x.sum(axis=0)
                 n += len(x)
@@ -66,7 +73,7 @@ def gram(df: DataFrame, vec: str, centered: bool = False) -> DataFrame:
             i, j = np.triu_indices(len(sums))
             yield pd.DataFrame({"i": i, "j": j, "v": cells[i, j], "si": sums[i], "sj": sums[j], "n": n})
 
-    parts = df.where(F.col(vec).isNotNull()).select(as_doubles(vec).alias("v")).mapInPandas(
+    parts = known.mapInPandas(
         partial, "i int, j int, v double, si double, sj double, n bigint"
     )
     total = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("v", "si", "sj", "n")])
@@ -79,44 +86,47 @@ def gram(df: DataFrame, vec: str, centered: bool = False) -> DataFrame:
 def matmul_coo(a: DataFrame, b: DataFrame, block: int = 256) -> DataFrame:
     """Product of two sparse matrices given as (i, j, v); missing cells are zero.
 
-    Both are cut into square blocks. A block pair is multiplied in one task, which
-    holds at most two blocks and their product and emits product cells, not the
-    single products behind them; partial sums over the inner blocks are then added.
+    Both are cut into square blocks, and only blocks that share an inner block with one of the other
+    side are paired: cells go to the pairs of their block, however large the indices are. A pair is multiplied in
+    one task, which holds two blocks and their product and emits product cells, not the single
+    products behind them; partial sums over the inner blocks are then added.
     """
-    last_row = a.agg(F.max("i")).first()[0]
-    last_col = b.agg(F.max("j")).first()[0]
-    if last_row is None or last_col is None:
-        return a.sparkSession.createDataFrame([], "i bigint, j bigint, v double")
-
-    def spread(upto: int) -> Column:
-        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(upto // block).cast("bigint")))
 
-    def cut(c: str) -> Column:
-        return F.floor(F.col(c) / block)
+    def cells(m: DataFrame, i: str, j: str) -> DataFrame:
+        kept = m.select(F.col("i").cast("bigint").alias(i), F.col("j").cast("bigint").alias(j), F.col("v").cast("double"))
+        kept = kept.dropna(subset=[i, j]).groupBy(i, j).agg(F.sum("v").alias("v"))
+        return kept.withColumns({f"b{c}": F.floor(F.col(c) / block).cast("bigint") for c in (i, j)})
 
-    left = a.select(F.col("i").cast("bigint"), F.col("j").cast("bigint").alias("k"), F.col("v").cast("double"))
-    right = b.select(F.col("i").cast("bigint").alias("k"), F.col("j").cast("bigint"), F.col("v").cast("double"))
+    left, right = cells(a, "i", "k"), cells(b, "k", "j")
     keys = ["bi", "bk", "bj"]
-    left = left.groupBy("i", "k").agg(F.sum("v").alias("v")).select(
-        cut("i").alias("bi"), cut("k").alias("bk"), spread(int(last_col)).alias("bj"), "i", "k", "v"
+    pairs = left.select("bi", "bk").distinct().join(right.select("bk", "bj").distinct(), "bk")
+    at_l = pairs.select(*[F.col(c).alias(f"l{c}") for c in keys])
+    at_r = pairs.select(*[F.col(c).alias(f"r{c}") for c in keys])
+    left = left.join(at_l, (F.col("bi") == F.col("lbi")) & (F.col("bk") == F.col("lbk"))).select(
+        F.col("lbi").alias("bi"), F.col("lbk").alias("bk"), F.col("lbj").alias("bj"), "i", "k", "v"
     )
-    right = right.groupBy("k", "j").agg(F.sum("v").alias("v")).select(
-        spread(int(last_row)).alias("bi"), cut("k").alias("bk"), cut("j").alias("bj"), "k", "j", "v"
+    right = right.join(at_r, (F.col("bk") == F.col("rbk")) & (F.col("bj") == F.col("rbj"))).select(
+        F.col("rbi").alias("bi"), F.col("rbk").alias("bk"), F.col("rbj").alias("bj"), "k", "j", "v"
     )
 
     def multiply(l: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         if l.empty or r.empty:
             return pd.DataFrame({"i": [], "j": [], "v": []}).astype({"i": "int64", "j": "int64"})
-        x, y = np.zeros((block, block)), np.zeros((block, block))
-        x[l["i"] % block, l["k"] % block] = l["v"]
-        y[r["k"] % block, r["j"] % block] = r["v"]
-        # a cell is present when some inner index is present on both sides
-        hit = np.zeros((block, block)), np.zeros((block, block))
-        hit[0][l["i"] % block, l["k"] % block] = 1
-        hit[1][r["k"] % block, r["j"] % block] = 1
-        i, j = np.nonzero(hit[0] @ hit[1])
-        base_i, base_j = l["i"].iloc[0] // block * block, r["j"].iloc[0] // block * block
-        return pd.DataFrame({"i": i + base_i, "j": j + base_j, "v": (x @ y)[i, j]})
+        x, y, hit_x, hit_y = (np.zeros((block, block)) for _ in range(4))
+        at_x, at_y = (l["i"] % block, l["k"] % block), (r["k"] % block, r["j"] % block)
+        x[at_x], y[at_y] = l["v"], r["v"]
+        hit_x[at_x], hit_y[at_y] = 1, 1
+        # infinities and missing numbers only meet cells that are there
+        odd_x, odd_y = ~np.isfinite(x), ~np.isfinite(y)
+        product = np.where(odd_x, 0, x) @ np.where(odd_y, 0, y)
+        for i, k in zip(*np.nonzero(odd_x)):
+            there = hit_y[k] > 0
+            product[i, there] += x[i, k] * y[k, there]
+        for k, j in zip(*np.nonzero(odd_y)):
+            there = (hit_x[:, k] > 0) & ~odd_x[:, k]
+            product[there, j] += x[there, k] * y[k, j]
+        i, j = np.nonzero(hit_x @ hit_y)
+        return pd.DataFrame({"i": i + l["bi"].iloc[0] * block, "j": j + r["bj"].iloc[0] * block, "v": product[i, j]})
 
     products = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
         multiply, "i bigint, j bigint, v double"

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from framewright.functions.exprs import attach, columns, join_on, names
+from framewright.functions.exprs import attach, columns, join_on, micros, names
 from framewright.operators.ordered import SPLIT_ROWS, positions, quantile_table
 
 # Spark prunes ranks before the shuffle up to this limit
@@ -41,7 +41,7 @@ def groupby_agg(
             q = quantile_table(df, col, [arg[0]], keys, split_rows)
             extra.append((q.select(*keys, F.col("q0").alias(out)), out, None))
         else:
-            simple.append(_aggregate(fn, col, *arg).alias(out))
+            simple.append(_aggregate(df, fn, col, *arg).alias(out))
     base = df.groupBy(*keys).agg(*(simple or [F.lit(None).alias("__none")]))
     for table, out, missing in extra:
         base = attach(base, table, keys)
@@ -50,7 +50,7 @@ def groupby_agg(
     return base.select(*keys, *aggs)
 
 
-def _aggregate(fn: str, col: str, arg: str | None = None) -> Column:
+def _aggregate(df: DataFrame, fn: str, col: str, arg: str | None = None) -> Column:
     plain = {
         "count": F.count, "sum": F.sum, "mean": F.avg, "std": F.stddev_samp,
         "var": F.var_samp, "min": F.min, "max": F.max,
@@ -60,9 +60,12 @@ def _aggregate(fn: str, col: str, arg: str | None = None) -> Column:
     if fn == "size":
         return F.count("*")
     if fn in ("argmax", "argmin"):
-        decided = F.when(F.col(arg).isNotNull(), F.struct(
-            (-F.col(arg) if fn == "argmax" else F.col(arg)).alias("by"), F.col(col).alias("v")
-        ))
+        kind, by = dict(df.dtypes)[arg], F.col(arg)
+        if kind.startswith("timestamp"):
+            by = micros(F.col(arg).cast("timestamp_ntz"))
+        elif kind == "date":
+            by = F.unix_date(arg)
+        decided = F.when(F.col(arg).isNotNull(), F.struct((-by if fn == "argmax" else by).alias("by"), F.col(col).alias("v")))
         return F.min(decided).getField("v")
     raise ValueError(f"unknown aggregate {fn!r}")
 

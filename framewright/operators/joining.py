@@ -108,11 +108,11 @@ def merge_asof(
     Both sides are stacked and the right row is carried along by a running value,
     so there is no non-equi join, and a hot key is split. Among right rows of
     equal time the last (backward) or first (forward) in ``ties`` order counts.
-    ``tolerance`` is the largest distance: seconds for timestamps, else units of
+    ``tolerance`` is the largest distance: seconds for timestamps, days for dates, else units of
     ``on``. Left rows without a match, or with a NULL time or key, keep NULLs.
     """
     by = names(by)
-    is_time = dict(left.dtypes)[on].startswith("timestamp")
+    kind = dict(left.dtypes)[on]
     payload = [c for c in right.columns if c not in by]
     names_out = {c: c + suffix if c in left.columns else c for c in payload}
     l_side = left.select(
@@ -127,8 +127,10 @@ def merge_asof(
 
     def gap(c: str) -> Column:
         other = F.col(c).getField(on)
-        if is_time:
+        if kind.startswith("timestamp"):
             return F.abs(micros("__t") - micros(other)) / F.lit(1e6)
+        if kind == "date":
+            return F.abs(F.datediff("__t", other))
         return F.abs(F.col("__t") - other)
 
     # At equal times right rows stand first, so that looking back finds them; looking

@@ -114,34 +114,30 @@ def ols_by_group(df: DataFrame, x: str, y: str, by: str | Sequence[str]) -> Data
 def many_models(df: DataFrame, features: Sequence[str], label: str, by: str | Sequence[str]) -> DataFrame:
     """One linear model with several features per group: by…, n, intercept, coefficients.
 
-    Only the moments of a group (sums, and sums of products around the overall means)
-    leave the executors' partial aggregation; the normal equations are then solved from
-    one short row per group. No group is ever gathered, whatever its size.
+    Only the moments of a group, its means and its covariances around them, leave the executors'
+    partial aggregation; the normal equations are then solved from one short row per group. No group is
+    ever gathered, whatever its size.
     """
     by, cols = names(by), [*features, label]
     rows = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols]).dropna(subset=cols)
-    shift = rows.agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(f"__mean_{c}") for c in cols]).first()
-    # shifting by the overall means keeps the sums of products accurate
-    base = rows.select(*by, *[(F.col(c) - F.lit(shift[f"__mean_{c}"])).alias(c) for c in cols])
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    moments = base.groupBy(*by).agg(
+    moments = rows.groupBy(*by).agg(
         F.count("*").alias("__n"),
-        F.array(*[F.sum(c) for c in cols]).alias("__s"),
-        F.array(*[F.sum(F.col(a) * F.col(b)) for a, b in pairs]).alias("__p"),
+        F.array(*[F.avg(c) for c in cols]).alias("__s"),
+        F.array(*[F.covar_pop(a, b) for a, b in pairs]).alias("__p"),
     )
-    d, centre = len(features), [shift[f"__mean_{c}"] for c in cols]
+    d = len(features)
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         upper = np.triu_indices(d + 1)
         for batch in batches:
             beta, constant = [], []
-            for n, s, p in zip(batch["__n"], batch["__s"], batch["__p"]):
-                m = np.zeros((d + 1, d + 1))
-                m[upper] = p
-                m = m + np.triu(m, 1).T
-                cov = m - np.outer(s, s) / n
+            for s, p in zip(batch["__s"], batch["__p"]):
+                cov = np.zeros((d + 1, d + 1))
+                cov[upper] = p
+                cov = cov + np.triu(cov, 1).T
                 b = np.linalg.lstsq(cov[:d, :d], cov[:d, d], rcond=None)[0]
-                mean = np.asarray(s) / n + centre
+                mean = np.asarray(s)
                 beta.append(b)
                 constant.append(mean[d] - b @ mean[:d])
             out = batch.drop(columns=["__s", "__p"]).rename(columns={"__n": "n"})

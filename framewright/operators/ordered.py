@@ -25,7 +25,6 @@ from framewright.functions.exprs import attach, columns, join_on, names
 from framewright.session import checkpointed
 
 SPLIT_ROWS = 4_000_000
-MAX_CHUNKS = 20_000
 CHUNK = "__chunk"
 
 # what a running value may be: sum, min, max, the last value at or before the
@@ -58,19 +57,19 @@ def hot_keys(df: DataFrame, by: str | Sequence[str] | None, split_rows: int | No
 
 
 def listed_keys(df: DataFrame, by: list[str], hot: Hot) -> DataFrame:
-    """The hot keys as a table, small enough to broadcast: see ``hot_keys``."""
+    """The hot keys as a table. Its size decides how it is joined."""
     rows = [tuple(r[c] for c in by) for r in hot.keys]
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.select(*by).schema))
+    return df.sparkSession.createDataFrame(rows, df.select(*by).schema)
 
 
 def attach_split(df: DataFrame, stats: DataFrame, by: str | Sequence[str] | None, hot: Hot) -> DataFrame:
     """Like ``attach``, but rows of hot keys are not shuffled by key: the few
-    statistics rows of these keys are broadcast to them."""
+    statistics rows of these keys are joined to them apart, a join that AQE broadcasts or splits."""
     by = names(by)
     if not by or not hot.keys:
         return attach(df, stats, by)
     listed = listed_keys(df, by, hot)
-    few = F.broadcast(join_on(stats, listed, by, "left_semi"))
+    few = join_on(stats, listed, by, "left_semi")
     heavy = join_on(join_on(df, listed, by, "left_semi"), few, by)
     return join_on(join_on(df, listed, by, "left_anti"), stats, by).unionByName(heavy)
 
@@ -84,7 +83,7 @@ def _split(df: DataFrame, by: list[str], order: list[Column], hot: Hot) -> tuple
         listed = listed_keys(df, by, hot)
         cold = join_on(df, listed, by, "left_anti")
         heavy = join_on(df, listed, by, "left_semi")
-    chunks = int(min(max(2, -(-hot.rows // hot.split_rows)), MAX_CHUNKS))
+    chunks = max(2, -(-hot.rows // hot.split_rows))
     heavy = heavy.repartitionByRange(chunks, *[F.col(c) for c in by], *order)
     return cold, checkpointed(heavy.withColumn(CHUNK, F.spark_partition_id()))
 
@@ -288,7 +287,8 @@ def quantile_table(
         where = F.lit(float(p)) * (n - 1)
         picks += [at(F.floor(where)).alias(f"__lo{i}"), at(F.ceil(where)).alias(f"__hi{i}")]
         lo, hi, k = F.col(f"__lo{i}"), F.col(f"__hi{i}"), F.lit(float(p)) * (n - 1)
-        out.append((lo + (k - F.floor(k)) * (hi - lo)).alias(f"q{i}"))
+        # equal ends may be infinite, and their difference is then no number
+        out.append(F.when(lo == hi, lo).otherwise(lo + (k - F.floor(k)) * (hi - lo)).alias(f"q{i}"))
     return (
         ranked.groupBy(*by)
         .agg(F.max("__n").alias("__n"), F.count("*").alias("distinct"), *picks)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from framewright.functions.exprs import join_on, micros, names
+from framewright.functions.exprs import attach, join_on, micros, names
 from framewright.operators.ordered import SPLIT_ROWS, Hot, hot_keys, near_rows, positions, scan
 
 STATS = {
@@ -16,6 +16,8 @@ STATS = {
 
 # frames with more rows than this are added up in blocks and not one by one
 FRAME_ROWS = 500
+# rows of a block of faded sums; longer memories chain their blocks
+BLOCK_ROWS = 1_000_000
 
 
 def rank_by(
@@ -133,12 +135,16 @@ def _rolling_in_blocks(
     per block; for the third the row is sent to the older block, shifted by the width, and stands
     there among the block's own rows. The work is linear, however long the frames are.
     """
+    timeless = df.where(F.col("__at").isNull())
+    alone = attach(timeless, timeless.groupBy(*by).agg(STATS[stat](col).alias(out)), by)
+    df = df.where(F.col("__at").isNotNull())
     at = F.col("__at")
     per_width = next(m for m in range(max(1, -(-busiest // rows)), width + 1) if width % m == 0)
     block = F.floor(at / (width // per_width)).cast("bigint")
 
-    x = F.col(col).cast("double") if stat in ("mean", "std") else F.col(col)
-    centre = df.agg(F.avg(col)).first()[0] if stat == "std" else None
+    if stat == "std":
+        return _rolling_std(df.withColumn("__block", block), by, col, per_width, width, out).unionByName(alone)
+    x = F.col(col).cast("double") if stat == "mean" else F.col(col)
     # running pieces: name -> (how to add up, input)
     pieces = {
         "sum": {"s": ("sum", x)},
@@ -146,10 +152,6 @@ def _rolling_in_blocks(
         "max": {"hi": ("max", x)},
         "count": {"n": ("sum", x.isNotNull().cast("bigint"))},
         "mean": {"s": ("sum", x), "n": ("sum", x.isNotNull().cast("bigint"))},
-        "std": {
-            "s": ("sum", x - F.lit(centre)), "ss": ("sum", (x - F.lit(centre)) * (x - F.lit(centre))),
-            "n": ("sum", x.isNotNull().cast("bigint")),
-        },
     }[stat]
     call = {"sum": F.sum, "min": F.min, "max": F.max}
     keys = [*by, "__block"]
@@ -192,14 +194,51 @@ def _rolling_in_blocks(
         "max": lambda: together("hi"),
         "count": lambda: n,
         "mean": lambda: F.try_divide(together("s"), n),
-        "std": lambda: F.sqrt(F.greatest(
-            F.try_divide(together("ss") - F.try_divide(together("s") * together("s"), n), n - 1), F.lit(0.0)
-        )),
     }[stat]()
     done = join_on(answered, middle, keys).withColumn(out, value)
-    if stat == "std":
-        done = done.withColumn(out, F.when(n > 1, F.col(out)))
-    return done.drop("__block", *[f"__{part}_{p}" for part in ("head", "mid", "tail") for p in pieces])
+    done = done.drop("__block", *[f"__{part}_{p}" for part in ("head", "mid", "tail") for p in pieces])
+    return done.unionByName(alone)
+
+
+def _rolling_std(df: DataFrame, by: list[str], col: str, per_width: int, width: int, out: str) -> DataFrame:
+    """Standard deviation over the frames of ``_rolling_in_blocks``, for rows with their ``__block``.
+
+    Every part of a frame is a count, a mean and a sum of squares around it, added up around the mean of
+    its own block (whole blocks: of the key), and parts are put together by the distances of their means. So values
+    far from 0, or from other keys, lose no digits."""
+    keys, at, x = [*by, "__block"], F.col("__at"), F.col(col).cast("double")
+    stats = df.groupBy(*keys).agg(F.count(x).alias("__bn"), F.avg(x).alias("__c"), (F.var_pop(x) * F.count(x)).alias("__bq"))
+    rows = join_on(df, stats.select(*keys, "__c"), keys).withColumn("__d", x - F.col("__c"))
+
+    def running(w, part: str) -> dict[str, Column]:
+        return {f"__{part}n": F.count("__d").over(w), f"__{part}s": F.sum("__d").over(w), f"__{part}q": F.sum(F.col("__d") * F.col("__d")).over(w)}
+
+    headed = rows.withColumns(running(W.partitionBy(*keys).orderBy("__at").rangeBetween(W.unboundedPreceding, 0), "h"))
+    whole = attach(stats, stats.groupBy(*by).agg(F.try_divide(F.sum(F.col("__c") * F.col("__bn")), F.sum("__bn")).alias("__k")), by)
+    older, off = W.partitionBy(*by).orderBy("__block").rangeBetween(-(per_width - 1), -1), F.col("__c") - F.col("__k")
+    middle = whole.select(*keys, "__k", *[
+        (F.sum(v).over(older) if per_width > 1 else F.lit(None).cast("double")).alias(name)
+        for name, v in (("__mn", F.col("__bn").cast("double")), ("__ms", F.col("__bn") * off), ("__mq", F.col("__bq") + F.col("__bn") * off * off))
+    ])
+    payload = [c for c in headed.columns if c not in by and c != "__d"]
+    asking = headed.select(*by, (F.col("__block") - per_width).alias("__block"), (at - width).alias("__at"), F.struct(*payload).alias("__row"))
+    asking = join_on(asking, stats.select(*keys, F.col("__c").alias("__tc")), keys)
+    own = rows.select(*keys, "__at", "__d")
+    after = W.partitionBy(*keys).orderBy(at.desc()).rangeBetween(W.unboundedPreceding, 0)
+    tailed = asking.unionByName(own, allowMissingColumns=True).withColumns(running(after, "t"))
+    done = join_on(tailed.where(F.col("__row").isNotNull()).select(*by, "__row.*", "__tc", "__tn", "__ts", "__tq"), middle, keys)
+
+    zero = F.lit(0.0)
+    parts = []  # (count, distance of the mean from the row's block mean, squares around the mean)
+    for part, centre in (("h", "__c"), ("m", "__k"), ("t", "__tc")):
+        n, s, q = (F.coalesce(F.col(f"__{part}{c}").cast("double"), zero) for c in "nsq")
+        mean = F.try_divide(s, n)
+        parts.append((n, F.coalesce(F.col(centre) - F.col("__c") + mean, zero), q - F.coalesce(mean * s, zero)))
+    n = sum((p[0] for p in parts), zero)
+    mean = F.try_divide(sum((p[0] * p[1] for p in parts), zero), n)
+    squares = sum((p[2] + p[0] * (p[1] - mean) * (p[1] - mean) for p in parts), zero)
+    value = F.when(n > 1, F.sqrt(F.greatest(squares, zero) / (n - 1)))
+    return done.withColumn(out, value).select(*[c for c in df.columns if c != "__block"], out)
 
 
 def ewm_mean(
@@ -208,43 +247,51 @@ def ewm_mean(
     """Exponentially weighted mean y = (1-a)·y_before + a·x, starting at the first
     value; missing values are passed over and show the mean so far.
 
-    With q = 1-a, y_t is q^t times a running sum of the weighted x_i·q^-i. Rows are
-    cut into blocks short enough for q^-i to stay a finite double; each block
-    takes over the end value of the block before. What lies two blocks back weighs below
-    1e-250 and is lost to double precision anyway, so blocks need no longer chain,
-    and no task has to walk a whole key.
+    No task has to walk a whole key: see ``_faded_sums``.
     """
     if not 0 < alpha <= 1:
         raise ValueError("alpha must be in (0, 1]")
     by = names(by)
-    q = 1.0 - alpha
     known = df.withColumn("__seen", F.col(col).isNotNull().cast("bigint"))
     # the number of known values up to the row; 0 before the first one
     placed = scan(known, by, order, {"__at": ("sum", "__seen")}, split_rows=split_rows)
-    size = max(1, min(1_000_000, int(250 * math.log(10) / -math.log(q)))) if q > 0 else 1
-    at = F.col("__at") - 1
-    rows = placed.where("__seen = 1").withColumns({"__block": F.floor(at / size), "__i": at % size})
-    weight = F.when(at == 0, F.lit(1.0)).otherwise(F.lit(float(alpha)))
-    if q > 0:
-        grow, fade = F.pow(F.lit(q), -F.col("__i")), F.pow(F.lit(q), F.col("__i"))
+    weight = F.when(F.col("__at") == 1, F.lit(1.0)).otherwise(F.lit(float(alpha)))
+    rows = placed.where("__seen = 1").withColumn("__x", weight * F.col(col).cast("double"))
+    if alpha < 1:
+        rows = _faded_sums(rows.withColumn("__at", F.col("__at") - 1), by, "__at", "__x", math.log1p(-alpha), out)
+        rows = rows.withColumn("__at", F.col("__at") + 1)
     else:
-        grow = fade = F.lit(1.0)
-    w = W.partitionBy(*by, "__block").orderBy("__i").rowsBetween(W.unboundedPreceding, 0)
-    rows = rows.withColumn("__local", F.sum(weight * F.col(col).cast("double") * grow).over(w) * fade)
-    ends = rows.where(F.col("__i") == size - 1).select(
-        *by, (F.col("__block") + 1).alias("__block"), F.col("__local").alias("__carry")
-    )
-    carried = F.coalesce("__carry", F.lit(0.0)) * fade * F.lit(q)
-    done = (
-        join_on(rows, ends, [*by, "__block"])
-        .withColumn(out, F.col("__local") + carried)
-        .drop("__seen", "__block", "__i", "__local", "__carry")
-    )
+        rows = rows.withColumn(out, F.col("__x"))
+    done = rows.drop("__seen", "__x")
     shown = done.select(*by, "__at", out)
     missing = join_on(placed.where("__seen = 0").drop("__seen"), shown, [*by, "__at"])
     return done.unionByName(missing).drop("__at")
 
 
+def _faded_sums(df: DataFrame, by: list[str], at: str, x: str, fade: float, out: str, level: int = 0) -> DataFrame:
+    """Add ``out``: the sum of ``x`` over the rows up to this one, each times exp(fade · its distance). ``at`` numbers
+    the rows of a key from 0 without gaps.
+
+    Inside blocks of rows that is a running sum of x·exp(-fade·i), times exp(fade·i); blocks are short enough for
+    these to stay finite doubles. A block takes over the sum at the end of the block before. Where a million rows fade
+    to less than 1e-250, that is the end value alone, as older blocks are lost to double precision anyway. Otherwise
+    the end values, one row for a million, are faded sums in their own right, and the same is done with them.
+    """
+    limit = max(1, int(250 * math.log(10) / -fade))
+    size = min(BLOCK_ROWS, limit)
+    block, i, local, carry = (f"__{name}{level}" for name in ("block", "i", "local", "carry"))
+    rows = df.withColumns({block: F.floor(F.col(at) / size).cast("bigint"), i: F.col(at) % size})
+    w = W.partitionBy(*by, block).orderBy(i).rowsBetween(W.unboundedPreceding, 0)
+    rows = rows.withColumn(local, F.sum(F.col(x) * F.exp(F.col(i) * -fade)).over(w) * F.exp(F.col(i) * fade))
+    ends = rows.where(F.col(i) == size - 1).select(*by, block, F.col(local).alias(carry))
+    if size < limit:
+        total = f"__total{level}"
+        ends = _faded_sums(ends, by, block, carry, fade * size, total, level + 1).drop(carry).withColumnRenamed(total, carry)
+    ends = ends.withColumn(block, F.col(block) + 1)
+    carried = F.coalesce(carry, F.lit(0.0)) * F.exp((F.col(i) + 1) * fade)
+    return join_on(rows, ends, [*by, block]).withColumn(out, F.col(local) + carried).drop(block, i, local, carry)
+
+
 def slot(ts: str, every: str) -> Column:
     """Start of the hour, day, … as ``timestamp_ntz`` (``date_trunc`` adds a zone)."""
     return F.date_trunc(every, ts).cast("timestamp_ntz")
@@ -260,7 +307,7 @@ def resample(df: DataFrame, ts: str, every: str, aggs: Sequence[Column], by=None
     filled = df.withColumn("slot", slot(ts, every)).groupBy(*by, "slot").agg(*aggs)
     ends = filled.groupBy(*by).agg(F.min("slot").alias("lo"), F.max("slot").alias("hi"))
     grid = ends.select(
-        *by, F.explode(F.sequence("lo", "hi", F.expr(f"interval 1 {every}"))).alias("slot")
+        *by, F.explode(F.sequence("lo", "hi", F.expr("interval 3 month" if every == "quarter" else f"interval 1 {every}"))).alias("slot")
     )
     return join_on(grid, filled, [*by, "slot"])
 

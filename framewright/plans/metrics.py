@@ -95,7 +95,7 @@ def silhouette(t: Tables) -> DataFrame:
 @query("cross_validate")
 def cross_validate(t: Tables) -> DataFrame:
     rows = scored(t).select("doc_id", "quality", F.log1p("n_chars").alias("size"))
-    learner = LogisticRegression(labelCol="quality", maxIter=20)
+    learner = LogisticRegression(labelCol="quality")
     est = models.pipeline(rows, ["size"], learner)
     stage = est.getStages()[-1]
     grid = ParamGridBuilder().addGrid(stage.regParam, [0.0, 0.1, 1.0]).build()

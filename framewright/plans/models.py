@@ -75,7 +75,7 @@ def logistic(t: Tables) -> DataFrame:
 @query("linear_svm")
 def linear_svm(t: Tables) -> DataFrame:
     rows = scored(t).withColumn("size", F.log1p("n_chars"))
-    return counted(ops.linear_svm(rows, ["size"], "quality", l2=0.01, iterations=10).transform(rows), "quality")
+    return counted(ops.linear_svm(rows, ["size"], "quality", l2=0.01).transform(rows), "quality")
 
 
 def forest(t: Tables, kind: str) -> DataFrame:
@@ -96,14 +96,14 @@ def single_tree(t: Tables) -> DataFrame:
 @query("tree_models_boosted")
 def boosted(t: Tables) -> DataFrame:
     rows = t("lineitem").select(*LINE_KEYS, "l_quantity", "l_discount", "l_extendedprice")
-    model = ops.tree_models(rows, ["l_quantity", "l_discount"], "l_extendedprice", "boosted", "regress", depth=3, trees=5)
+    model = ops.tree_models(rows, ["l_quantity", "l_discount"], "l_extendedprice", "boosted", "regress")
     return model.transform(rows).select(*LINE_KEYS, R("prediction", 4).alias("prediction"))
 
 
 @query("mlp")
 def mlp(t: Tables) -> DataFrame:
     rows = t("embeddings")
-    return counted(ops.mlp(rows, "embedding", "label", [64, 16, 10], iterations=50).transform(rows))
+    return counted(ops.mlp(rows, "embedding", "label", [64, 16, 10]).transform(rows))
 
 
 @query("nearest_centroid", f"""
@@ -143,7 +143,7 @@ def bisecting(t: Tables) -> DataFrame:
 @query("gaussian_mixture")
 def gaussian_mixture(t: Tables) -> DataFrame:
     rows = t("lineitem").select(*LINE_KEYS, "l_quantity", "l_discount")
-    model = ops.gaussian_mixture(rows, ["l_quantity", "l_discount"], 3, iterations=10)
+    model = ops.gaussian_mixture(rows, ["l_quantity", "l_discount"], 3)
     share = vector_to_array("probability")
     return model.transform(rows).select(*LINE_KEYS, "prediction", R(F.array_max(share), 4).alias("probability"))
 

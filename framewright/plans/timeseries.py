@@ -72,6 +72,39 @@ def ewm_mean(t: Tables) -> DataFrame:
     return out.select("event_id", R("ewm", 6).alias("ewm"))
 
 
+@query("ewm_mean_slow", """
+with e as (select event_id, value, row_number() over (order by ts, event_id) - 1 as i from events)
+select event_id, round(sum(case when i = 0 then value else value * 1e-6 end * pow(1 - 1e-6, -i)) over (order by i) * pow(1 - 1e-6, i), 6) as ewm from e""")
+def ewm_mean_slow(t: Tables) -> DataFrame:
+    out = ops.ewm_mean(t("events"), [], ["ts", "event_id"], "value", 1e-6)
+    return out.select("event_id", R("ewm", 6).alias("ewm"))
+
+
+@query("rolling_rows_long", """
+select event_id, round(stddev_samp(value) over (partition by event_type order by ts, event_id rows between 1999 preceding and current row), 6) as rolling
+from events""")
+def rolling_rows_long(t: Tables) -> DataFrame:
+    out = ops.rolling_rows(t("events"), "event_type", ["ts", "event_id"], "value", 2000, "std")
+    return out.select("event_id", R("rolling", 6).alias("rolling"))
+
+
+@query("rolling_time_std", """
+with e as (select event_id, event_type, value, case when event_id % 11 <> 0 then ts end as ts from events)
+select event_id, round(case when ts is null then stddev_samp(value) over (partition by event_type, ts is null)
+  else stddev_samp(value) over (partition by event_type order by ts range between interval 10 day preceding and current row) end, 6) as rolling from e""")
+def rolling_time_std(t: Tables) -> DataFrame:
+    events = t("events").withColumn("ts", F.when(F.col("event_id") % 11 != 0, F.col("ts")))
+    out = ops.rolling_time(events, "event_type", "ts", "value", 864_000, "std")
+    return out.select("event_id", R("rolling", 6).alias("rolling"))
+
+
+@query("resample_quarter", """
+select strftime(date_trunc('quarter', o_orderdate), '%Y-%m-%d') as slot, count(*) as n from orders group by 1""")
+def resample_quarter(t: Tables) -> DataFrame:
+    out = ops.resample(t("orders"), "o_orderdate", "quarter", [F.count("*").alias("n")])
+    return out.select(F.date_format("slot", "yyyy-MM-dd").alias("slot"), "n")
+
+
 @query("resample", """
 with h as (select date_trunc('hour', ts) as slot, count(*) as n, round(sum(value), 6) as total from events group by 1),
 grid as (select unnest(generate_series(min(slot), max(slot), interval 1 hour)) as slot from h)

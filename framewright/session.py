@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def get_session(master: str = "local[8]", app: str = "framewright", **conf: str) -> SparkSession:
-    """A session with the settings the operators are written for: UTC, ANSI, AQE."""
+def get_session(master: str | None = None, app: str = "framewright", **conf: str) -> SparkSession:
+    """A session with the settings the operators are written for: UTC, ANSI, AQE.
+
+    Without ``master`` the one given to spark-submit, or by Spark's defaults, holds."""
     settings = {
         "spark.ui.enabled": "false",
         "spark.sql.session.timeZone": "UTC",
@@ -19,26 +20,21 @@ def get_session(master: str = "local[8]", app: str = "framewright", **conf: str)
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
     settings.update({k.replace("__", "."): v for k, v in conf.items()})
-    builder = SparkSession.builder.master(master).appName(app)
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
-
-    Only a local session may go without the setting: driver and executors are
-    then one process, so a temporary folder is reachable by all of them.
-    """
+    """The folder every executor can reach: the one that ``spark.checkpoint.dir`` names, or where that is not
+    set, one below the warehouse, which a session shares with its executors as well."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="framewright-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/framewright-intermediate"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
