@@ -19,8 +19,9 @@ from pyspark.ml.param.shared import HasInputCol, HasInputCols, HasOutputCol
 from pyspark.ml.stat import ChiSquareTest, Correlation
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import NumericType
 
-from framewright.functions.exprs import attach, join_on, names
+from framewright.functions.exprs import attach, finite, join_on, names
 from framewright.operators.ordered import hot_keys, quantile_table
 from framewright.operators.timeseries import rank_table
 
@@ -54,17 +55,66 @@ def _on_vector(inputs: str | Sequence[str], output: str, step: Estimator | Trans
     return Pipeline(stages=[VectorAssembler(inputCols=names(inputs), outputCol=raw), step, _drop(raw)])
 
 
-def scale_standard(inputs, output: str, with_mean: bool = True, with_std: bool = True) -> Pipeline:
+class ColumnScaler(Estimator, HasInputCols, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """Scales each input (x - offset) · factor. Statistics skip missing values, which stay missing: NaN in the
+    output vector, as a vector holds no NULL. Vector inputs are left to Spark's own scaler of the same kind."""
+
+    kind = Param(Params._dummy(), "kind", "standard, minmax or maxabs", TypeConverters.toString)
+    first = Param(Params._dummy(), "first", "standard: 1 to centre; minmax: low end", TypeConverters.toFloat)
+    second = Param(Params._dummy(), "second", "standard: 1 to divide; minmax: high end", TypeConverters.toFloat)
+
+    @keyword_only
+    def __init__(self, *, inputCols: list[str] | None = None, outputCol: str | None = None, kind: str = "standard",
+                 first: float = 1.0, second: float = 1.0):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _fit(self, dataset: DataFrame) -> PipelineModel:
+        cols, kind = self.getInputCols(), self.getOrDefault("kind")
+        a, b = self.getOrDefault("first"), self.getOrDefault("second")
+        if any(not isinstance(dataset.schema[c].dataType, NumericType) for c in cols):
+            step = {
+                "standard": lambda: StandardScaler(withMean=bool(a), withStd=bool(b)),
+                "minmax": lambda: MinMaxScaler(min=a, max=b), "maxabs": MaxAbsScaler,
+            }[kind]()
+            return _on_vector(cols, self.getOutputCol(), step).fit(dataset)
+        x = {c: finite(F.col(c).cast("double")) for c in cols}
+        found = dataset.agg(*[
+            F.struct(F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("low"), F.max(v).alias("high")).alias(f"s{i}")
+            for i, v in enumerate(x.values())
+        ]).first()
+        exprs, scaled = [], []
+        for i, c in enumerate(cols):
+            s = found[f"s{i}"]
+            if s["mean"] is None:
+                offset, factor, add = 0.0, 1.0, 0.0  # nothing but missing values
+            elif kind == "standard":
+                offset, factor, add = (s["mean"] if a else 0.0), ((1 / s["std"] if s["std"] else 0.0) if b else 1.0), 0.0
+            elif kind == "minmax":
+                width = s["high"] - s["low"]
+                offset, factor, add = s["low"], ((b - a) / width if width else 0.0), (a if width else (a + b) / 2)
+            else:
+                offset, factor, add = 0.0, 1 / (max(abs(s["low"]), abs(s["high"])) or 1.0), 0.0
+            scaled.append(f"{self.getOutputCol()}__{i}")
+            exprs.append(f"(CAST(`{c}` AS DOUBLE) - ({offset!r}D)) * ({factor!r}D) + ({add!r}D) AS `{scaled[-1]}`")
+        return PipelineModel(stages=[
+            SQLTransformer(statement=f"SELECT *, {', '.join(exprs)} FROM __THIS__"),
+            VectorAssembler(inputCols=scaled, outputCol=self.getOutputCol(), handleInvalid="keep"),
+            _drop(*scaled),
+        ])
+
+
+def scale_standard(inputs, output: str, with_mean: bool = True, with_std: bool = True) -> ColumnScaler:
     """Mean 0 and sample standard deviation 1."""
-    return _on_vector(inputs, output, StandardScaler(withMean=with_mean, withStd=with_std))
+    return ColumnScaler(inputCols=names(inputs), outputCol=output, kind="standard", first=float(with_mean), second=float(with_std))
 
 
-def scale_minmax(inputs, output: str, low: float = 0.0, high: float = 1.0) -> Pipeline:
-    return _on_vector(inputs, output, MinMaxScaler(min=low, max=high))
+def scale_minmax(inputs, output: str, low: float = 0.0, high: float = 1.0) -> ColumnScaler:
+    return ColumnScaler(inputCols=names(inputs), outputCol=output, kind="minmax", first=float(low), second=float(high))
 
 
-def scale_maxabs(inputs, output: str) -> Pipeline:
-    return _on_vector(inputs, output, MaxAbsScaler())
+def scale_maxabs(inputs, output: str) -> ColumnScaler:
+    return ColumnScaler(inputCols=names(inputs), outputCol=output, kind="maxabs", first=0.0, second=0.0)
 
 
 def normalize_rows(inputs, output: str, p: float = 2.0) -> Pipeline:
@@ -90,13 +140,14 @@ class RobustScaler(Estimator, HasInputCols, HasOutputCol, DefaultParamsReadable,
         # one row per input column
         quartiles = {r["column"]: r for r in quantile_table(long, "value", [0.25, 0.5, 0.75], "column").collect()}
         for i, c in enumerate(cols):
-            q25, q50, q75 = (quartiles[c][q] for q in ("q0", "q1", "q2"))
+            # a column of missing values only is not scaled, and stays missing
+            q25, q50, q75 = (quartiles[c][q] for q in ("q0", "q1", "q2")) if c in quartiles else (0.0, 0.0, 0.0)
             width = (q75 - q25) or 1.0
             scaled.append(f"{self.getOutputCol()}__{i}")
             exprs.append(f"(CAST(`{c}` AS DOUBLE) - ({q50!r}D)) / ({width!r}D) AS `{scaled[-1]}`")
         return PipelineModel(stages=[
             SQLTransformer(statement=f"SELECT *, {', '.join(exprs)} FROM __THIS__"),
-            VectorAssembler(inputCols=scaled, outputCol=self.getOutputCol()),
+            VectorAssembler(inputCols=scaled, outputCol=self.getOutputCol(), handleInvalid="keep"),
             _drop(*scaled),
         ])
 

@@ -29,7 +29,8 @@ def batch_predict(
     batch_size: int = 1024,
 ) -> DataFrame:
     """Vectorised inference: ``make_fn()`` loads the model once per Python worker and
-    returns a function from NumPy batches to predictions. Array columns must share one length."""
+    returns a function from NumPy batches to predictions. Array columns must share one length.
+    Rows with a NULL in any input get a NULL prediction."""
     cols = names(cols)
     udf_args = {"return_type": return_type, "batch_size": batch_size}
     arrays = [isinstance(df.schema[c].dataType, ArrayType) for c in cols]
@@ -37,4 +38,9 @@ def batch_predict(
         first = df.select(*cols).dropna().first()
         shapes = [[len(first[c])] if a and first else None for c, a in zip(cols, arrays)]
         udf_args["input_tensor_shapes"] = [s or ([1] if a else None) for s, a in zip(shapes, arrays)]
-    return df.withColumn(out, predict_batch_udf(make_fn, **udf_args)(*cols))
+    known = F.lit(True)
+    for c in cols:
+        known = known & F.col(c).isNotNull()
+    predict = predict_batch_udf(make_fn, **udf_args)
+    whole = df.where(known).withColumn(out, predict(*cols))
+    return whole.unionByName(df.where(~known).withColumn(out, F.lit(None).cast(return_type)))
