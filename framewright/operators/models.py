@@ -17,7 +17,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType
 
-from framewright.functions.exprs import names
+from framewright.functions.exprs import join_on, names
 from framewright.operators.arrays import as_doubles
 from framewright.operators.features import ArrayToVector
 from framewright.operators.neighbours import topk_similar
@@ -160,11 +160,8 @@ def centroids(df: DataFrame, features: str, label: str) -> DataFrame:
 def nearest_centroid(
     train: DataFrame, df: DataFrame, features: str, label: str, id_col: str = "vec_id"
 ) -> DataFrame:
-    """Class (an integer) whose mean vector is nearest; the smallest class on ties.
-
-    The centroids are as many as there are classes; the neighbour search checks
-    their size before it sends them to every task.
-    """
+    """Class whose mean vector is nearest; the smallest class on ties, NULL for rows without a vector."""
     base = centroids(train, features, label).select(F.col("label").alias(id_col), F.col("vec").alias(features))
     near = topk_similar(df.select(id_col, features), base, 1, "euclidean", id_col, features)
-    return near.select(F.col("q_id").alias(id_col), F.col("b_id").alias("prediction"), (-F.col("similarity")).alias("distance"))
+    found = near.select(F.col("q_id").alias(id_col), F.col("b_id").alias("prediction"), (-F.col("similarity")).alias("distance"))
+    return join_on(df.select(id_col), found, id_col)

@@ -1,9 +1,7 @@
 """Nearest neighbours: exact in blocks, approximate by hashing, and a classifier on top.
 
-No pair ever becomes a row. When one side is small (its size is measured), it goes
-to every task and the other side is streamed past it without a shuffle. Otherwise both
-are cut into blocks of bounded size, and a task scores one query block against one base
-block. Either way scoring is a matrix product, a task emits the best ``k`` per
+No pair ever becomes a row. Both sides are cut into blocks of bounded size, and a task scores
+one query block against one base block. Scoring is a matrix product, a task emits the best ``k`` per
 query, and the best of those are kept.
 """
 
@@ -19,7 +17,6 @@ from framewright.functions.exprs import join_on
 from framewright.operators.arrays import as_doubles
 
 BLOCK_ROWS = 4_096
-SMALL_NUMBERS = 4_000_000  # a side with at most this many vector elements counts as small
 METRICS = ("cosine", "dot", "euclidean")
 
 
@@ -36,9 +33,8 @@ def _score(q: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
 
 
 def _best(q: pd.DataFrame, b: pd.DataFrame, k: int, metric: str, skip_self: bool) -> pd.DataFrame:
-    columns = {"q_id": "int64", "b_id": "int64", "similarity": "float64"}
     if q.empty or b.empty:
-        return pd.DataFrame({c: pd.Series(dtype=t) for c, t in columns.items()})
+        return pd.DataFrame({"q_id": q["id"].iloc[:0], "b_id": b["id"].iloc[:0], "similarity": pd.Series(dtype="float64")})
     b = b.sort_values("id", kind="stable")
     q_ids, b_ids = q["id"].to_numpy(), b["id"].to_numpy()
     scores = _score(np.asarray(q["vec"].tolist(), float), np.asarray(b["vec"].tolist(), float), metric)
@@ -85,44 +81,22 @@ def _blockwise(
     left = copies(q, b_sizes, "__qb", "__bb").groupBy(*keys)
     right = copies(base, q_sizes, "__bb", "__qb").groupBy(*keys)
     return left.cogroup(right).applyInPandas(
-        lambda l, r: _best(l, r, k, metric, skip_self), "q_id bigint, b_id bigint, similarity double"
+        lambda l, r: _best(l, r, k, metric, skip_self), f"q_id {_id_kind(q)}, b_id {_id_kind(base)}, similarity double"
     )
 
 
-def _is_small(df: DataFrame) -> bool:
-    rows, elements = df.agg(F.count("*"), F.sum(F.size("vec").cast("bigint"))).first()
-    return rows + (elements or 0) <= SMALL_NUMBERS
-
-
-def _streamed(q: DataFrame, base: DataFrame, k: int, metric: str, skip_self: bool, small_q: bool) -> DataFrame:
-    """Best ``k`` per query and task, with the small side (see ``_is_small``) in every task."""
-    small = (q if small_q else base).select("id", "vec").toPandas()
-
-    def over_queries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield _best(batch, small, k, metric, skip_self)
-
-    def over_base(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept = None
-        for batch in batches:
-            found = _best(small, batch, k, metric, skip_self)
-            kept = found if kept is None else pd.concat([kept, found])
-            kept = kept.sort_values(["q_id", "similarity", "b_id"], ascending=[True, False, True])
-            kept = kept.groupby("q_id", sort=False).head(k)
-        if kept is not None:
-            yield kept
-
-    large, step = (base, over_base) if small_q else (q, over_queries)
-    return large.select("id", "vec").mapInPandas(step, "q_id bigint, b_id bigint, similarity double")
-
-
 def _keep_best(found: DataFrame, k: int) -> DataFrame:
     w = W.partitionBy("q_id").orderBy(F.col("similarity").desc(), "b_id")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def _id_kind(df: DataFrame) -> str:
+    return df.schema["id"].dataType.simpleString()
+
+
 def _prepared(df: DataFrame, id_col: str, vec: str) -> DataFrame:
-    return df.where(F.col(vec).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), as_doubles(vec).alias("vec"))
+    """Ids of any type, and vectors; rows without a vector have no neighbours and are none."""
+    return df.where(F.col(vec).isNotNull()).select(F.col(id_col).alias("id"), as_doubles(vec).alias("vec"))
 
 
 def topk_similar(
@@ -137,13 +111,8 @@ def topk_similar(
     if metric not in METRICS:
         raise ValueError(f"metric {metric!r} is not one of {METRICS}")
     q, base = _prepared(q, id_col, vec), _prepared(base, id_col, vec)
-    if _is_small(base):
-        found = _streamed(q, base, k, metric, skip_self, small_q=False)
-    elif _is_small(q):
-        found = _streamed(q, base, k, metric, skip_self, small_q=True)
-    else:
-        one = F.lit(0).alias("__all")
-        found = _blockwise(q.select("*", one), base.select("*", one), ["__all"], k, metric, skip_self, block_rows)
+    one = F.lit(0).alias("__all")
+    found = _blockwise(q.select("*", one), base.select("*", one), ["__all"], k, metric, skip_self, block_rows)
     return _keep_best(found, k)
 
 
@@ -179,7 +148,7 @@ def topk_similar_lsh(
                 yield batch.assign(table=n, bucket=cells[:, n * projections:(n + 1) * projections].tolist())
 
     def bucketed(d: DataFrame) -> DataFrame:
-        return d.mapInPandas(hashed, "id bigint, vec array<double>, table int, bucket array<bigint>")
+        return d.mapInPandas(hashed, f"id {_id_kind(d)}, vec array<double>, table int, bucket array<bigint>")
 
     found = _blockwise(bucketed(q), bucketed(base), ["table", "bucket"], k, metric, skip_self, block_rows)
     once = found.groupBy("q_id", "b_id").agg(F.max("similarity").alias("similarity"))
@@ -190,9 +159,11 @@ def knn_classify(
     train: DataFrame, df: DataFrame, features: str, label: str, k: int, id_col: str = "vec_id",
     metric: str = "cosine", skip_self: bool = False,
 ) -> DataFrame:
-    """Majority label of the exact ``k`` nearest training rows, the smallest label on ties."""
+    """Majority label of the exact ``k`` nearest training rows, the smallest label on ties. Rows without a
+    vector, or with no neighbour, get a NULL label."""
     near = topk_similar(df, train, k, metric, id_col, features, skip_self)
-    labels = train.select(F.col(id_col).cast("bigint").alias("b_id"), F.col(label).alias("__label"))
+    labels = train.select(F.col(id_col).alias("b_id"), F.col(label).alias("__label"))
     votes = near.join(labels, "b_id").groupBy("q_id", "__label").agg(F.count("*").alias("__n"))
     best = F.min(F.struct((-F.col("__n")).alias("n"), F.col("__label").alias("label")))
-    return votes.groupBy("q_id").agg(best.alias("b")).select(F.col("q_id").alias(id_col), F.col("b.label").alias("prediction"))
+    found = votes.groupBy("q_id").agg(best.alias("b")).select(F.col("q_id").alias(id_col), F.col("b.label").alias("prediction"))
+    return join_on(df.select(id_col), found, id_col)

@@ -128,13 +128,10 @@ def brute(x, ids, k, metric):
 
 
 @pytest.mark.parametrize("metric", neighbours.METRICS)
-@pytest.mark.parametrize("way", ["small base", "small queries", "blocks"])
-def test_exact_neighbours(vectors, matrix, monkeypatch, metric, way):
+@pytest.mark.parametrize("block_rows", [4096, 300, 60])
+def test_exact_neighbours(vectors, matrix, metric, block_rows):
     ids, x, _ = matrix
-    answers = {"small base": [True], "small queries": [False, True], "blocks": [False, False]}[way]
-    told = iter(answers)
-    monkeypatch.setattr(neighbours, "_is_small", lambda df: next(told))
-    out = neighbours.topk_similar(vectors, vectors.repartition(3), 3, metric, skip_self=True, block_rows=60)
+    out = neighbours.topk_similar(vectors, vectors.repartition(3), 3, metric, skip_self=True, block_rows=block_rows)
     assert {(r["q_id"], r["b_id"], r["rank"]) for r in out.collect()} == brute(x, ids, 3, metric)
 
 
@@ -156,6 +153,19 @@ def test_zero_vectors_have_no_cosine(spark):
     assert {(r["q_id"], r["b_id"]) for r in out.collect()} == {(2, 3), (3, 2)}
 
 
+def test_any_id_and_no_row_lost(spark):
+    d = spark.createDataFrame(
+        [("a", [1.0, 0.0], "x"), ("b", [0.9, 0.1], "x"), ("c", [0.0, 1.0], "y"), ("d", None, "y"), ("e", [0.0, 0.0], "y")],
+        "vec_id string, embedding array<double>, label string",
+    )
+    near = {(r["q_id"], r["b_id"]) for r in neighbours.topk_similar(d, d, 1, skip_self=True).collect()}
+    assert near == {("a", "b"), ("b", "a"), ("c", "b")}
+    voted = {r["vec_id"]: r["prediction"] for r in neighbours.knn_classify(d, d, "embedding", "label", 1).collect()}
+    assert voted == {"a": "x", "b": "x", "c": "y", "d": None, "e": None}
+    closest = {r["vec_id"]: r["prediction"] for r in models.nearest_centroid(d, d, "embedding", "label").collect()}
+    assert closest == {"a": "x", "b": "x", "c": "y", "d": None, "e": "y"}
+
+
 def test_matmul_against_numpy(spark):
     rng = np.random.default_rng(3)
     a = np.where(rng.random((23, 31)) < 0.3, rng.integers(-5, 5, (23, 31)), 0).astype(float)
