@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
 from framewright.llm.common import slices, written
+from framewright.llm.tokens import balanced
 
 #: Letters; what stands between the letters of a word is dropped, so it cannot hide them.
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -147,8 +148,10 @@ class Model:
         return self.__dict__ | {"known": {}}
 
     def margins(self, texts: list[str]) -> list[float]:
-        """The largest f of each text's units; -inf without units."""
-        found = [units(t) for t in texts]
+        """The largest f of each text's units; -inf without units. The units of a few texts are held at a time."""
+        return [m for run in balanced(texts, 500_000) for m in self.margins_of([units(t) for t in run])]
+
+    def margins_of(self, found: list[set[str]]) -> list[float]:
         if len(self.known) > REMEMBERED:
             self.known.clear()
         known = self.known
