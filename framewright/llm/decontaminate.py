@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
 from framewright.llm.common import words_of
+from framewright.llm.tokens import balanced
 
 FOUND = "struct<n_words: bigint, n_hit: bigint, items: array<string>, spans: array<struct<start: bigint, stop: bigint>>>"
 FOUND_ARROW = pa.struct([
@@ -125,21 +126,22 @@ def find_benchmark(
     @arrow_udf(FOUND)
     def search(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            cut = [words_of(t) for t in batch.to_pylist()]
-            hits: list[tuple[set[str], list]] = [(set(), []) for _ in cut]
-            for one in sent:
-                tables = patterns_of(one.value, window)
-                for words, (names, spans) in zip(cut, hits):
-                    more, at = tables.search(words)
-                    names |= more
-                    spans += at
             rows = []
-            for words, (names, spans) in zip(cut, hits):
-                runs = merged(spans)
-                rows.append({
-                    "n_words": len(words), "n_hit": sum(b - a for a, b in runs), "items": sorted(names),
-                    "spans": [{"start": a, "stop": b} for a, b in runs],
-                })
+            for run in balanced(batch.to_pylist(), 2_000_000 if len(sent) == 1 else 16_000_000):
+                cut = [words_of(t) for t in run]
+                hits: list[tuple[set[str], list]] = [(set(), []) for _ in cut]
+                for one in sent:
+                    tables = patterns_of(one.value, window)
+                    for words, (names, spans) in zip(cut, hits):
+                        more, at = tables.search(words)
+                        names |= more
+                        spans += at
+                for words, (names, spans) in zip(cut, hits):
+                    parts = merged(spans)
+                    rows.append({
+                        "n_words": len(words), "n_hit": sum(b - a for a, b in parts), "items": sorted(names),
+                        "spans": [{"start": a, "stop": b} for a, b in parts],
+                    })
             yield pa.array(rows, FOUND_ARROW)
 
     return docs.withColumn(out, search(F.coalesce(text, F.lit(""))))
