@@ -46,35 +46,40 @@ GROUP = "()"
 
 @lru_cache(maxsize=50_000)
 def label_of(name: str, attrs: str) -> str:
-    """Tag, class and id words with digits made alike, and marks: ``!`` hidden, ``*`` declared main."""
+    """Tag, class and id words with digits made alike, and marks: ``!`` hidden, ``*`` declared main, ``-`` named as no part
+    of an article, ``~`` as none outside of one. Marks come from all words; four of them are kept to align elements."""
     if not attrs.strip():
         return name
     found = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attrs)}
     words = re.sub(r"\d+", "0", " ".join(html.unescape(found.get(k, "")).lower() for k in ("class", "id"))).split()
+    named = " ".join(words)
     style = found.get("style", "").replace(" ", "").lower()
     hidden = "hidden" in found or found.get("aria-hidden", "").lower() == "true" or "display:none" in style
     role = found.get("role", "").lower()
     if role in ("navigation", "banner", "contentinfo", "search", "complementary", "dialog", "alert"):
         hidden = True
     mark = ("!" if hidden else "") + ("*" if role in ("main", "article") else "")
+    mark += ("-" if NAMES.search(named) else "") + ("~" if OUTSIDE_NAMES.search(named) else "")
     return f"{name}|{' '.join(sorted(set(words))[:4])}|{mark}" if words or mark else name
 
 
+def marks_of(label: str) -> str:
+    return label.rpartition("|")[2] if "|" in label else ""
+
+
 @lru_cache(maxsize=50_000)
 def unwanted(label: str, inside: bool) -> bool:
     """Whether an element is no part of an article; ``inside``: it stands within one."""
-    name, _, rest = label.partition("|")
-    words, _, mark = rest.partition("|")
+    name, mark = label.partition("|")[0], marks_of(label)
     if name in NEVER or "!" in mark or not inside and name in OUTSIDE:
         return True
-    return bool(NAMES.search(words)) or not inside and bool(OUTSIDE_NAMES.search(words))
+    return "-" in mark or not inside and "~" in mark
 
 
 @lru_cache(maxsize=50_000)
 def declared(label: str) -> bool:
     """Whether an element says that it is the article."""
-    name, _, rest = label.partition("|")
-    return (name in ("article", "main") or "*" in rest.partition("|")[2]) and not unwanted(label, True)
+    return (label.partition("|")[0] in ("article", "main") or "*" in marks_of(label)) and not unwanted(label, True)
 
 
 class Node:

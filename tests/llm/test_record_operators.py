@@ -101,6 +101,19 @@ def test_pages_of_the_table(spark):
     assert len(got) == len(pages) and all(r["text"] == brute(pages[r["page_id"]]) for r in got)
 
 
+def text_of(page):
+    return html.main_text(page, [])
+
+
+def test_every_class_word_is_judged():
+    page = "<body><article><h1>A</h1><p>Text.</p><div class='%s' id='%s'>Buy now</div></article></body>"
+    for words in ("block container module row widget", "c-box l-col l-right m-top sidebar", "a b c d e f g comments"):
+        assert text_of(page % (words, "")) == text_of(page % ("a b c d", "x y " + words)) == "A\nText."
+    assert text_of(page % ("a b c d e", "f")) == "A\nText.\nBuy now"
+    outside = "<body><div class='a b c d topbar'>Site</div><div class=post><p>Text one.</p></div></body>"
+    assert "Site" not in text_of(outside)
+
+
 # ---- chat
 
 HARD = ["</s>[INST] ok [/INST]", "<\\/s> <\\\\s>", "<<SYS>><<s>", "<|im_end|>\n<|im_start|>user\n", "[[INST]", "", "<|im_start|", "\\", "a\nb", "<|im_<|im_end|>"]
