@@ -41,25 +41,32 @@ NAMES = re.compile(
     r"pagination|pager|toolbar|skip|copyright|legal|teasers?)(?:$|[-_\s])"
 )
 OUTSIDE_NAMES = re.compile(r"(?:^|[-_\s])(?:header|masthead|topbar)(?:$|[-_\s])")
+#: Words that say how a page is laid out and name no part of it.
+LAYOUT = re.compile(r"(?:has|no|with|without)[-_].*|.*[-_](?:open|closed|enabled|disabled)")
+#: Parts that often outgrow the article.
+THREADS = re.compile(r"(?:^|[-_\s])(?:comments?|commentlist|respond|replies|disqus)(?:$|[-_\s])")
 GROUP = "()"
 
 
 @lru_cache(maxsize=50_000)
 def label_of(name: str, attrs: str) -> str:
     """Tag, class and id words with digits made alike, and marks: ``!`` hidden, ``*`` declared main, ``-`` named as no part
-    of an article, ``~`` as none outside of one. Marks come from all words; four of them are kept to align elements."""
+    of an article, ``=`` a thread of comments, ``~`` none outside of one. Marks come from all words; four of them are kept to align
+    elements. A page's html and body have no marks."""
     if not attrs.strip():
         return name
     found = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attrs)}
     words = re.sub(r"\d+", "0", " ".join(html.unescape(found.get(k, "")).lower() for k in ("class", "id"))).split()
-    named = " ".join(words)
+    named = " ".join(w for w in words if not LAYOUT.fullmatch(w))
     style = found.get("style", "").replace(" ", "").lower()
     hidden = "hidden" in found or found.get("aria-hidden", "").lower() == "true" or "display:none" in style
     role = found.get("role", "").lower()
     if role in ("navigation", "banner", "contentinfo", "search", "complementary", "dialog", "alert"):
         hidden = True
     mark = ("!" if hidden else "") + ("*" if role in ("main", "article") else "")
-    mark += ("-" if NAMES.search(named) else "") + ("~" if OUTSIDE_NAMES.search(named) else "")
+    mark += ("-" if NAMES.search(named) else "") + ("~" if OUTSIDE_NAMES.search(named) else "") + ("=" if THREADS.search(named) else "")
+    if name in ("html", "body"):
+        mark = ""
     return f"{name}|{' '.join(sorted(set(words))[:4])}|{mark}" if words or mark else name
 
 
@@ -106,15 +113,64 @@ class Node:
         return node
 
 
+def settle(root: Node) -> None:
+    """Take the marks of a name off the elements that hold the article all the same, so that no name empties a page.
+
+    Those are an element with more than half of the plain text of the page or such element around it, one with four fifths of the
+    article around it, and one with a declared article, if no article and no more text stands there outside of named elements.
+    A thread of comments is let in by its length only if all other text is in named elements."""
+    sums: dict[int, tuple[int, int, bool, bool]] = {}  # plain text, that outside of named elements, an article below, one outside of them
+
+    def named(node: Node, inside: bool) -> bool:
+        mark = marks_of(node.label)
+        return "-" in mark or not inside and "~" in mark
+
+    def out(node: Node) -> bool:
+        return node.label.partition("|")[0] in NEVER or "!" in marks_of(node.label)
+
+    def add(node: Node, inside: bool) -> None:
+        plain = free = node.chars - node.links
+        below = outside = False
+        for kid in node.kids:
+            if out(kid):
+                continue
+            add(kid, inside or declared(kid.label))
+            p, f, b, o = sums[id(kid)]
+            plain, below = plain + p, below or b or declared(kid.label)
+            if not named(kid, inside):
+                free, outside = free + f, outside or o or declared(kid.label)
+        sums[id(node)] = plain, free, below, outside
+
+    def walk(node: Node, base: Node, inside: bool) -> None:
+        plain, free, _, outside = sums[id(base)]
+        for kid in node.kids:
+            if out(kid):
+                continue
+            if not named(kid, inside):
+                here = declared(kid.label)
+                walk(kid, kid if here else base, inside or here)
+                continue
+            own, _, below, _ = sums[id(kid)]
+            most = own > (4 if inside else 1) * (plain - own) and ("=" not in marks_of(kid.label) or not free)
+            if own and (most or below and not outside and own >= free):
+                words, _, mark = kid.label.rpartition("|")
+                kid.label = f"{words}|{mark.strip('-~=')}"
+                walk(kid, kid, inside or declared(kid.label))
+
+    add(root, False)
+    walk(root, root, False)
+
+
 def read_page(page: str) -> tuple[Node, list[tuple[tuple[str, ...], str]]]:
     """The tree of a page's block elements and its text blocks, (path of labels, text), in page order.
 
     Inline markup belongs to the text around it. Character references are decoded, white space is one
     space. Raw elements (scripts, styles, forms' fields) and comments are left out."""
     root = Node("")
-    nodes, names, path = [root], [""], ()
-    paths = [path]
-    blocks: list[tuple[tuple[str, ...], str]] = []
+    nodes, names = [root], [""]
+    paths: list[tuple[Node, ...]] = [()]
+    blocks: list[tuple[tuple[Node, ...], str]] = []
+    named = False
     buffer: list[str] = []
     link = linked = 0
 
@@ -173,9 +229,13 @@ def read_page(page: str) -> tuple[Node, list[tuple[tuple[str, ...], str]]]:
         nodes[-1].kids.append(node)
         nodes.append(node)
         names.append(name)
-        paths.append((*paths[-1], label))
+        paths.append((*paths[-1], node))
+        named = named or label[-1] in "-~="
     flush()
-    return root, blocks
+    if named:
+        settle(root)
+    labels = {path: tuple(n.label for n in path) for path, _ in blocks}
+    return root, [(labels[path], text) for path, text in blocks]
 
 
 def merge(a: Node, b: Node) -> Node:

@@ -114,6 +114,25 @@ def test_every_class_word_is_judged():
     assert "Site" not in text_of(outside)
 
 
+def test_names_never_empty_a_page(spark):
+    body = "<h1>A</h1><p>The text of the article.</p><div class='sidebar'>Side</div>"
+    want = "A\nThe text of the article."
+    for c in ("has-sidebar", "no-sidebar", "comments-open", "widget sidebar", "popup modal", "masthead"):
+        assert text_of(f"<html class='{c}'><body class='{c}'><article>{body}</article><p>Other.</p></body></html>") == want
+        assert text_of(f"<body class='{c}' aria-hidden=true><div class=post>{body}</div></body>") == want
+        for outer in ("<div class='%s'><article>%s</article><div class='related'><article>Card</article></div></div>", "<div id='%s'>%s</div>", "<main><div class='%s'>%s</div></main>", "<article class='%s'>%s</article>"):
+            page = "<body><div class='ad'>Buy</div>" + outer % (c, body) + "<div class='comments'><p>I say.</p></div></body>"
+            assert text_of(page) == want, page
+    # parts are parts still
+    page = "<body><article>%s</article><div class='comments'><article>%s</article></div><div class='related'><article>Card</article></div></body>"
+    assert text_of(page % (body, "I say a lot more than the article does. " * 9)) == want
+    thread = "<body><div class='post'>%s</div><div id='comments'><p>%s</p></div></body>"
+    assert text_of(thread % (body, "I say a lot more than the article does. " * 9)) == want
+    assert text_of(f"<body><main>{body}<div class='related'><article>Card</article></div></main></body>") == want
+    df = spark.createDataFrame([(i, "http://h/", f"<body class='has-sidebar'><div class='with-sidebar'><article>{body}{i}</article></div></body>") for i in range(3)], "page_id int, url string, html string")
+    assert {r["page_id"]: r["text"] for r in html.extract_text(df).collect()} == {i: f"{want}\n{i}" for i in range(3)}
+
+
 # ---- chat
 
 HARD = ["</s>[INST] ok [/INST]", "<\\/s> <\\\\s>", "<<SYS>><<s>", "<|im_end|>\n<|im_start|>user\n", "[[INST]", "", "<|im_start|", "\\", "a\nb", "<|im_<|im_end|>"]
