@@ -19,7 +19,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     NULL and short texts are rejected (fewer than 50 words). Repeated rows get the same verdict. Empty tables stay empty."""
     trusted = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1").select("doc_id")
-    return quality(docs, trusted, prefix="__stage_").where("__stage_kept").select(*docs.columns)
+    return quality(docs, trusted, prefix="__stage_", whole=True).where("__stage_kept").select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

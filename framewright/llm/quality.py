@@ -8,7 +8,7 @@ from framewright.llm.common import SPACE
 
 SPLIT = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
-#: Letters of a word's end that the model sees.
+#: Letters of a word's end that the model sees; whole words are added where they are asked for.
 ENDING = 3
 
 
@@ -74,17 +74,23 @@ def finished(df: DataFrame, rest: list[str], made: dict[str, Column]) -> DataFra
     return df.select(*[F.col(c) for c in rest if c not in made], row)
 
 
-def with_grams(df: DataFrame, buckets: int) -> DataFrame:
-    """``df`` with ``__fw_grams``: buckets of the hashed 1-grams and 2-grams of the endings of ``__fw_words``."""
+def with_grams(df: DataFrame, buckets: int, whole: bool = False) -> DataFrame:
+    """``df`` with ``__fw_grams``: buckets of the hashed 1-grams and 2-grams of the endings of ``__fw_words``, and
+    with ``whole`` of the words themselves as well."""
     in_bucket = lambda h: F.pmod(h, F.lit(buckets))
-    out = df.withColumn("__fw_ends", F.transform("__fw_words", lambda w: F.xxhash64(F.right(w, F.lit(ENDING)))))
-    pairs = F.transform("__fw_ends", lambda h, i: in_bucket(F.xxhash64(h, F.get("__fw_ends", i + 1))))
-    ones = F.transform("__fw_ends", in_bucket)
-    n = F.greatest(F.size("__fw_ends") - 1, F.lit(0))
-    return out.withColumn("__fw_pairs", pairs).withColumn("__fw_grams", F.concat(ones, F.slice("__fw_pairs", F.lit(1), n))).drop("__fw_pairs", "__fw_ends")
-
-
-def log_ratios(df: DataFrame, trusted_ids: DataFrame, doc_id: str, text: str, buckets: int) -> DataFrame:
+    forms = {"ends": lambda w: F.xxhash64(F.right(w, F.lit(ENDING)))} | ({"all": F.xxhash64} if whole else {})
+    out, grams = df, []
+    for name, form in forms.items():
+        col = f"__fw_{name}"
+        out = out.withColumn(col, F.transform("__fw_words", lambda w: form(w)))
+        pairs = F.transform(col, lambda h, i: in_bucket(F.xxhash64(h, F.get(col, i + 1))))
+        out = out.withColumn(f"{col}_pairs", pairs)
+        n = F.greatest(F.size(col) - 1, F.lit(0))
+        grams += [F.transform(col, in_bucket), F.slice(f"{col}_pairs", F.lit(1), n)]
+    return out.withColumn("__fw_grams", F.concat(*grams)).drop(*[f"__fw_{k}{x}" for k in forms for x in ("", "_pairs")])
+
+
+def log_ratios(df: DataFrame, trusted_ids: DataFrame, doc_id: str, text: str, buckets: int, whole: bool = False) -> DataFrame:
     """(bucket, weight): log of the bucket's share in trusted documents over its share in all documents.
 
     Both multinomials are counted over every document, whole, in one pass and smoothed by one
@@ -94,7 +100,7 @@ def log_ratios(df: DataFrame, trusted_ids: DataFrame, doc_id: str, text: str, bu
     ids = ids.hint("merge")  # the same plan at every size
     marked = df.select(F.col(doc_id).alias("__fw_d"), F.col(text).alias("__fw_t")).join(ids, F.col("__fw_d") == F.col("__fw_id"), "left")
     marked = marked.select("__fw_t", F.col("__fw_id").isNotNull().cast("int").alias("__fw_good"))
-    marked = with_grams(with_words(marked, "__fw_t"), buckets)
+    marked = with_grams(with_words(marked, "__fw_t"), buckets, whole)
     counts = (
         # the outer form: Spark would compute the grams several times more to filter empty arrays
         marked.select("__fw_good", F.explode_outer("__fw_grams").alias("bucket")).where("bucket is not null")
@@ -110,11 +116,12 @@ def log_ratios(df: DataFrame, trusted_ids: DataFrame, doc_id: str, text: str, bu
 
 def quality(
     df: DataFrame, trusted_ids: DataFrame, doc_id: str = "doc_id", text: str = "text",
-    buckets: int = 1 << 14, least: float = -0.5, prefix: str = "",
+    buckets: int = 1 << 14, least: float = -0.5, prefix: str = "", whole: bool = False,
 ) -> DataFrame:
     """``df`` with the columns of ``base_rules``, ``llr`` and ``kept``.
 
-    The model sees the last ``ENDING`` characters of each word, case and marks included, as hashed 1-grams and 2-grams.
+    The model sees the last ``ENDING`` characters of each word, with ``whole`` (as in the queries) each whole word too, case and marks
+    included, as hashed 1-grams and 2-grams. Whole words alone are too rare to tell by them junk made of new words.
     ``llr`` is the mean over a document's grams of log(share of the gram's bucket in trusted
     documents / share in all documents). A document is kept if no base rule fails and ``llr`` is ``least`` or more,
     a fixed threshold: the same document with the same counts always gets the same verdict. The weights, at most
@@ -123,10 +130,10 @@ def quality(
     NULL and empty texts fail the base rules; their ``llr`` is 0. Rows with a NULL id are never trusted. Repeated rows count
     once each. Without trusted ids only the base rules decide. An empty table gives no rows.
     """
-    weights = dict(map(tuple, log_ratios(df, trusted_ids, doc_id, text, buckets).collect()))  # at most ``buckets`` rows
+    weights = dict(map(tuple, log_ratios(df, trusted_ids, doc_id, text, buckets, whole).collect()))  # at most ``buckets`` rows
     lookup = F.split(F.lit(",".join(repr(weights.get(b, 0.0)) for b in range(buckets))), ",").cast("array<double>")
 
-    words = with_grams(with_words(df, text), buckets)
+    words = with_grams(with_words(df, text), buckets, whole)
     out = base_rules(words, text, prefix)
     total = F.aggregate("__fw_grams", F.lit(0.0), lambda s, g: s + F.get(lookup, g))
     out = out.withColumn("__fw_size", F.size("__fw_grams")).withColumn("__fw_sum", total)

@@ -124,7 +124,7 @@ def op7_chat_format(t: Tables) -> DataFrame:
 
 @query("op9_quality_rules")
 def op9_quality_rules(t: Tables) -> DataFrame:
-    out = quality(t("documents").select("doc_id", "text"), t("labels").where("quality = 1"))
+    out = quality(t("documents").select("doc_id", "text"), t("labels").where("quality = 1"), whole=True)
     return out.drop("text")
 
 

@@ -195,6 +195,22 @@ def test_llr_by_brute_force(spark, docs):
     assert quality.quality(docs(*texts).where("false"), trusted).count() == 0
 
 
+def test_queries_judge_whole_words(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(6)
+    stems, ends = ["garden", "river", "window", "letter"], ["ing", "ed", "ness", "ly"]
+    junk = ["qzxv", "wkjq", "zzgh", "xqvw"]
+    of = lambda s: " ".join(rng.choice(s) + rng.choice(ends) for _ in range(120))
+    texts = [(i, of(stems if i < 20 else junk)) for i in range(40)]
+    spark.createDataFrame(texts, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1) for i in range(10)], "doc_id bigint, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r["doc_id"]: r for r in queries()["op9_quality_rules"](spark, str(tmp_path)).collect()}
+    assert all(got[i]["kept"] == (i < 20) for i in range(40))
+    documents = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    assert {r["doc_id"] for r in corpus_pipeline.quality_rules(spark, documents, str(tmp_path)).collect()} == set(range(20))
+
+
 def test_quality_keeps_good_documents(real):
     got = queries()["op9_quality_rules"](real.sparkSession, SF)
     labels = real.sparkSession.read.parquet(f"{SF}/labels.parquet")
