@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
 from framewright.llm.common import slices, written
@@ -116,8 +116,9 @@ class Landmarks:
 
     def against(self, strings: list[str], project: np.ndarray) -> np.ndarray:
         """k(string, landmark) @ project for each string."""
-        if len(strings) > 5_000:
-            return np.concatenate([self.against(strings[i:i + 5_000], project) for i in range(0, len(strings), 5_000)])
+        most = 5_000 if project.ndim == 1 else 500  # a row of ``project`` for each subsequence found
+        if len(strings) > most:
+            return np.concatenate([self.against(strings[i:i + most], project) for i in range(0, len(strings), most)])
         rows = self.table @ project
         out = np.zeros((len(strings), *rows.shape[1:]))
         if not strings or not len(self.codes):
@@ -190,8 +191,13 @@ def svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float, steps: in
     for _ in range(steps):
         slack = 1 - y * (z @ w)
         on = slack > 0
-        grad = reg @ w - 2 * cost * z[on].T @ (weight[on] * y[on] * slack[on])
-        step = np.linalg.solve(reg + 2 * cost * (z[on].T * weight[on]) @ z[on], grad)
+        grad, hessian = reg @ w, reg.copy()
+        at = np.flatnonzero(on)
+        for i in range(0, len(at), 4096):  # few rows are copied at a time
+            k = at[i:i + 4096]
+            grad -= 2 * cost * z[k].T @ (weight[k] * y[k] * slack[k])
+            hessian += 2 * cost * (z[k].T * weight[k]) @ z[k]
+        step = np.linalg.solve(hessian, grad)
         size, now = 1.0, value(w)
         while size > 1e-4 and value(w - size * step) > now:
             size /= 2
@@ -238,60 +244,75 @@ def labelled_units(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, l
     return written(found.select(F.col("y").cast("int").alias("y"), "t").mapInArrow(take_apart, "y int, units array<string>"), "toxic-units")
 
 
-@dataclass
-class Typical:
-    """How typical of toxic documents a unit is: as its most typical part. Only used to begin with."""
+def typical_units(sample: DataFrame, gains: DataFrame, most: int = 3) -> DataFrame:
+    """(y, unit) of each sampled document's most typical units, to begin with: a unit's gain is that of its best part. At most
+    ``most`` units, those with half of the best one's gain. All gains are joined, none is picked out before."""
+    # the outer forms: Spark would compute the parts several times more to filter empty arrays
+    rows = sample.select("y", F.explode_outer("units").alias("u"), F.monotonically_increasing_id().alias("d")).where("u is not null")
+    tasks = 4 * sample.sparkSession.sparkContext.defaultParallelism
+    cut = rows.select("u").distinct().repartition(tasks, "u").select("u", F.explode_outer(parts_of("u")).alias("p"))
+    best = cut.join(gains, "p").groupBy("u").agg(F.max("gain").alias("gain"))
+    found = rows.join(best, "u", "left").select("y", "d", F.struct(F.coalesce("gain", F.lit(0.0)).alias("gain"), "u").alias("s"))
+    top = found.groupBy("d", "y").agg(F.slice(F.sort_array(F.collect_list("s"), asc=False), 1, most).alias("top"))
+    top = top.select("y", F.col("top")[0]["gain"].alias("first"), F.explode("top").alias("s"))
+    return top.where(F.col("s.gain") >= 0.5 * F.col("first")).select("y", F.col("s.u").alias("unit"))
 
-    gains: dict[str, float]
 
-    def best(self, us: list[str], most: int) -> list[tuple[float, str]]:
-        get = self.gains.get
-        parts = lambda u: (u[i:i + k] for k in PARTS for i in range(len(u) - k + 1))
-        top = sorted(((max((get(p, 0.0) for p in parts(u)), default=0.0), u) for u in us), reverse=True)[:most]
-        return [x for x in top if x[0] >= 0.5 * top[0][0]]
+def parts_of(unit: str) -> Column:
+    """The parts of a unit, of the lengths of ``PARTS``."""
+    none = F.array().cast("array<string>")
+
+    def cut(k: int):
+        starts = F.sequence(F.lit(1), F.length(unit) - (k - 1))
+        return F.when(F.length(unit) >= k, F.transform(starts, lambda i: F.substring(unit, i, F.lit(k)))).otherwise(none)
+
+    return F.flatten(F.array(*[cut(k) for k in PARTS]))
+
+
+def spread(kernel: Kernel, strings: list[str], most: int, chunk: int = 64) -> list[str]:
+    """The first ``most`` strings whose kernel with one chosen before is 0.6 at most. Strings are compared with the chosen
+    ones and with their own chunk, so memory does not grow with the number of strings."""
+    out: list[str] = []
+    for start in range(0, len(strings), chunk):
+        if len(out) >= most:
+            break
+        part = strings[start:start + chunk]
+        if out:
+            k = Landmarks(kernel, out).against(part, np.eye(len(out), dtype=np.float32))
+            part = [s for s, near in zip(part, k.max(axis=1)) if near <= 0.6]
+        k = Landmarks(kernel, part).against(part, np.eye(len(part), dtype=np.float32)) if part else None
+        taken: list[int] = []
+        for i in range(len(part)):
+            if len(out) + len(taken) < most and (not taken or k[i, taken].max() <= 0.6):
+                taken.append(i)
+        out += [part[i] for i in taken]
+    return out
 
 
-def choose_landmarks(sample: DataFrame, kernel: Kernel, landmarks: int) -> tuple[Landmarks, Typical]:
+def choose_landmarks(sample: DataFrame, kernel: Kernel, landmarks: int) -> tuple[Landmarks, DataFrame]:
     """Landmark strings: half of them the parts of units most typical of toxic documents, half the units most
     frequent in clean ones, leaving out a string whose kernel with a chosen one is above 0.6.
 
-    A part is typical by its count times the log of its share in toxic over its share in clean documents."""
+    A part is typical by its count times the log of its share in toxic over its share in clean documents. Landmarks come from the
+    16 times as many most typical parts; the table (p, gain) has all parts with a gain."""
     seen = sample.select("y", F.explode_outer("units").alias("u")).where("u is not null").groupBy("u").agg(
         F.sum("y").alias("t"), F.sum(1 - F.col("y")).alias("c")
     )
     seen = written(seen, "toxic-candidates")
     total = seen.agg(F.sum("t"), F.sum("c")).first()
     toxic, clean = float(total[0] or 0) + 1, float(total[1] or 0) + 1
-    none = F.array().cast("array<string>")
-
-    def cut(k: int):
-        starts = F.sequence(F.lit(1), F.length("u") - (k - 1))
-        return F.when(F.length("u") >= k, F.transform(starts, lambda i: F.substring("u", i, F.lit(k)))).otherwise(none)
-
-    cuts = F.flatten(F.array(*[cut(k) for k in PARTS]))
-    parts = seen.select("t", "c", F.explode_outer(F.array_distinct(cuts)).alias("p")).where("p is not null")
+    parts = seen.select("t", "c", F.explode_outer(F.array_distinct(parts_of("u"))).alias("p")).where("p is not null")
     parts = parts.groupBy("p").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
     gain = F.col("t") * (F.log((F.col("t") + 0.5) / toxic) - F.log((F.col("c") + 0.5) / clean))
-    top = parts.select("p", gain.alias("gain")).where("gain > 0").orderBy(F.desc("gain"), F.desc(F.length("p")), "p")
-    gains = dict(map(tuple, top.limit(4 * landmarks).collect()))
-    likely = list(gains)
+    gains = written(parts.select("p", gain.alias("gain")).where("gain > 0"), "toxic-gains")
+    top = gains.orderBy(F.desc("gain"), F.desc(F.length("p")), "p").limit(16 * landmarks)
+    likely = [r["p"] for r in top.collect()]
     usual = [r["u"] for r in seen.where("t <= c and length(u) > 4").orderBy(F.desc("c"), "u").limit(2 * landmarks).collect()]
-
-    def spread(strings: list[str], most: int) -> list[str]:
-        out: list[str] = []
-        k = Landmarks(kernel, strings).against(strings, np.eye(len(strings), dtype=np.float32)) if strings else None
-        taken: list[int] = []
-        for i, s in enumerate(strings):
-            if len(out) < most and (not taken or k[i, taken].max() <= 0.6):
-                out.append(s)
-                taken.append(i)
-        return out
-
-    first, second = spread(likely, landmarks // 2), spread(usual, landmarks // 2)
-    return Landmarks(kernel, first + second), Typical(gains)
+    first, second = spread(kernel, likely, landmarks // 2), spread(kernel, usual, landmarks // 2)
+    return Landmarks(kernel, first + second), gains
 
 
-def best_units(sample: DataFrame, model: Model | Typical, most: int = 3) -> list:
+def best_units(sample: DataFrame, model: Model, most: int = 3) -> list:
     """(label, rank, margin, unit) of the best units of each sampled document."""
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -331,13 +352,14 @@ def fit(
     if not shares.get(0) or not shares.get(1):
         return None
     sample = labelled_units(docs, labels, doc_id, text, label, max_documents)
-    marks, model = choose_landmarks(sample, kernel or Kernel(), landmarks)
+    marks, gains = choose_landmarks(sample, kernel or Kernel(), landmarks)
+    model = None
     if not marks.strings:
         return None
     root = nystrom(marks)
     negatives: set[str] = set()
     for _ in range(rounds):
-        found = best_units(sample, model)
+        found = best_units(sample, model) if model else typical_units(sample, gains).collect()  # a few units for each document
         negatives |= {r["unit"] for r in found if r["y"] == 0}
         counts = Counter(r["unit"] for r in found if r["y"] == 1 and r["unit"] not in negatives)
         if not counts or not negatives:
@@ -348,7 +370,7 @@ def fit(
         y = np.array([1.0] * (len(counts) + len(hidden)) + [-1.0] * len(negatives))
         weight = np.array([*np.log1p(list(counts.values())), *(n for _, n in hidden), *[1.0] * len(negatives)])
         weight = np.where(y > 0, weight / weight[y > 0].sum(), weight / weight[y < 0].sum())
-        w, bias = svm(marks.against(strings, root.astype(np.float32)).astype(float), y, weight, cost)
+        w, bias = svm(marks.against(strings, root.astype(np.float32)), y, weight, cost)
         model = Model(marks, root @ w, bias)
     found = best_units(sample, model, 1)
     margin, truth = np.array([r["margin"] for r in found]), np.array([r["y"] for r in found])

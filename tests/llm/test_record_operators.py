@@ -223,6 +223,32 @@ def test_toxicity(spark, docs):  # noqa: F811
     assert toxicity.score(docs((1, "a")).where("false"), model, out="s").count() == 0
 
 
+def test_typical_units_of_rare_languages(spark, docs):  # noqa: F811
+    def word(rng):
+        return "".join(rng.choice("bcdfghklmnprst") + rng.choice("aeiou") for _ in range(5))
+
+    rng = random.Random(8)
+    many, rare = [word(rng) for _ in range(60)], "zuxqizwaj"
+    texts = [f"{word(rng)} {word(rng)} {many[i % 60]}" for i in range(600)] + [f"{word(rng)} {rare}" for _ in range(2)]
+    texts += [f"{word(rng)} {word(rng)}" for _ in range(300)]
+    labels = spark.createDataFrame([(i, int(i < 602)) for i in range(len(texts))], "doc_id bigint, toxic int")
+    sample = toxicity.labelled_units(docs(*enumerate(texts)), labels, "doc_id", "text", "toxic", 2000)
+    marks, gains = toxicity.choose_landmarks(sample, toxicity.Kernel(), 8)
+    got = [r["unit"] for r in toxicity.typical_units(sample, gains).where("y = 1").collect()]
+    assert got.count(f"^{rare}$") == 2 and all(got.count(f"^{w}$") == 10 for w in many)
+
+
+def test_landmarks_in_chunks():
+    rng, kernel = random.Random(9), toxicity.Kernel()
+    strings = ["".join(rng.choice("abcd") for _ in range(rng.randrange(4, 9))) for _ in range(200)]
+    k = toxicity.Landmarks(kernel, strings).against(strings, np.eye(len(strings), dtype=np.float32))
+    taken = []
+    for i in range(len(strings)):
+        if len(taken) < 40 and (not taken or k[i, taken].max() <= 0.6):
+            taken.append(i)
+    assert toxicity.spread(kernel, strings, 40, chunk=16) == [strings[i] for i in taken]
+
+
 # ---- near duplicates
 
 def brute_classes(texts, least=0.8):
