@@ -6,8 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, functions as F
 
 from framewright.llm.chat import canonical_turns, format_turns, read_back
+from framewright.llm.collocations import collocations
 from framewright.llm.decontaminate import contaminated, find_benchmark
 from framewright.llm.html import extract_text
+from framewright.llm.licenses import PHRASES, TEMPLATES, parsed, scan_licenses
 from framewright.llm.lines import drop_repeated_lines
 from framewright.llm.neardup import near_duplicates
 from framewright.llm.packing import pack
@@ -144,3 +146,72 @@ def op4_html_text(t: Tables) -> DataFrame:
 @query("op10_minhash_near_dedup")
 def op10_minhash_near_dedup(t: Tables) -> DataFrame:
     return near_duplicates(t("documents").select("doc_id", "text")).select("doc_id", "class_id", "class_size", "kept")
+
+
+def _listed(values) -> str:
+    return "[" + ", ".join(repr(v) for v in values) + "]"
+
+
+#: The notices and phrases as SQL values.
+_NOTICES = ", ".join(
+    f"({n}, '{x.label}', {_listed(x.words)}, {_listed(x.marked)}::int[])" for n, x in enumerate(parsed(TEMPLATES))
+)
+_PHRASES = ", ".join(f"('{label}', {_listed(phrase.split())})" for phrase, label in PHRASES.items())
+
+
+@query("op13_license_scan", f"""
+    with d as (select doc_id, {_WORDS.format("coalesce(text, '')")} as w from documents),
+    phrases as (select * from (values {_PHRASES}) as v(label, p)),
+    notices as (select * from (values {_NOTICES}) as v(t, label, n, m)),
+    starts as (select doc_id, label, i - 1 as i from phrases, (select doc_id, w, unnest(range(1, len(w) + 1)) as i from d)
+        where w[i:i + len(p) - 1] = p),
+    base as (select doc_id, count(*) as n_base, min(i) as first_word, max(i) as last_word,
+        string_agg(distinct label, ',' order by label) as base_labels from starts group by doc_id),
+    tg as (select t, a as spot, n[a + 1:a + 3] as g from (select *, unnest(range(0, len(n) - 2)) as a from notices)),
+    dg as (select doc_id, i as pos, w[i + 1:i + 3] as g from (select *, unnest(range(0, len(w) - 2)) as i from d)),
+    votes as (select doc_id, t, spot, pos, pos - spot as diagonal from dg join tg using (g)),
+    lines as (select doc_id, t, diagonal, diagonal - lag(diagonal) over (partition by doc_id, t order by diagonal) as gap
+        from (select distinct doc_id, t, diagonal from votes)),
+    chains as (select doc_id, t, diagonal, max(case when gap is null or gap > 3 then diagonal end)
+        over (partition by doc_id, t order by diagonal) as first from lines),
+    covered as (select distinct doc_id, t, first, (diagonal - first) // 7 as part, spot + j as spot
+        from votes join chains using (doc_id, t, diagonal), (select unnest(range(0, 3)) as j)),
+    places as (select doc_id, label, count(*) / len(n) as share from covered join notices using (t)
+        group by doc_id, t, first, part, label, n, m
+        having count(*) >= 0.7 * len(n) and count(*) filter (list_contains(m, spot)) = len(m)),
+    named as (select doc_id, label from starts union select doc_id, label from places),
+    labels as (select doc_id, string_agg(label, ',' order by label) as labels from named group by doc_id),
+    best as (select doc_id, max(share) as share from places group by doc_id)
+    select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_base, 0) as n_base,
+        cast(first_word as double) as first_word, cast(last_word as double) as last_word,  -- a column with NULLs, as a data frame has it
+        coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels,
+        case when n_base > 0 then 1.0 else coalesce(share, 0.0) end::double as score
+    from d left join base using (doc_id) left join labels using (doc_id) left join best using (doc_id)""")
+def op13_license_scan(t: Tables) -> DataFrame:
+    out = scan_licenses(t("documents").select("doc_id", "text"))
+    joined = {c: F.array_join(c, ",") for c in ("base_labels", "labels")}
+    return out.withColumns(joined).drop("text", "spans")
+
+
+@query("op12_collocations", r"""
+    with d as (select coalesce(lang, 'und') as lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+    p as (select lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) as piece from d),
+    w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from p),
+    g as (select lang, k, array_to_string(w[i:i + k - 1], ' ') as phrase
+        from (select lang, w, k, unnest(range(1, len(w) - k + 2)) as i from w, (select unnest([1, 2, 3, 4]) as k))),
+    f as (select lang, k, phrase, count(*) as n from g group by all having count(*) >= 30),
+    cuts as (select c.lang, c.phrase, c.n as a, j, l.n as l, r.n as r, (2000000::hugeint * c.n) // (l.n + r.n) as score
+        from (select *, string_split(phrase, ' ') as ws, unnest(range(1, k)) as j from f where k > 1) c
+        join f l on l.lang = c.lang and l.phrase = array_to_string(c.ws[1:j], ' ')
+        join f r on r.lang = c.lang and r.phrase = array_to_string(c.ws[j + 1:], ' ')),
+    low as (select lang, phrase, a, l, r, cast(score as bigint) as score from cuts
+        qualify row_number() over (partition by lang, phrase order by score, j) = 1),
+    inner_parts as (select lang, n, array_to_string(ws[i:i + s - 1], ' ') as phrase
+        from (select lang, n, ws, s, unnest(range(1, k - s + 2)) as i from (select *, string_split(phrase, ' ') as ws, unnest(range(2, k)) as s from f where k > 2))),
+    longer as (select lang, phrase, max(n) as most from inner_parts group by lang, phrase),
+    kept as (select low.* from low left join longer using (lang, phrase) where most is null or 100 * most < 80 * a),
+    n as (select lang, sum(len(w))::bigint as n from w group by lang)
+    select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
+    from kept join n using (lang) qualify rank <= 2000""")
+def op12_collocations(t: Tables) -> DataFrame:
+    return collocations(t("documents").select("doc_id", "lang", "text"))
