@@ -16,7 +16,9 @@ from framewright.llm.common import LOWER, UPPER, slices, written
 
 LONGEST = 4
 #: Bytes of text taken apart at a time. It bounds memory only.
-CHUNK = 2 << 20
+CHUNK = 1 << 19
+#: Codes added up in a task before they are handed on. It bounds memory only.
+POOL = 1 << 19
 #: Smallest and largest number of bits of a filter (32 MB), and bits for each phrase in it.
 LEAST_BITS, MOST_BITS, BITS_EACH = 1 << 20, 1 << 28, 16
 #: Bits in one value of Spark's bitmap aggregate.
@@ -31,7 +33,6 @@ PIECES = bytes(
     for b in range(256)
 )
 BLANKS, NEXT_WORDS = re.compile(rb"  +"), re.compile(rb"(?: ?[^ \n]+){0,%d}" % (LONGEST - 1))
-COUNTS = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64())])
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -94,12 +95,21 @@ def language_code(lang: str) -> int:
 
 
 def codes(words: Words, seed: np.ndarray) -> list[np.ndarray]:
-    """Code of the phrase of 1, 2, ... words from each word on; ``seed`` is the language of each word."""
+    """Code of the phrase of 1, 2, ... words from each word on; ``seed`` is the language of each word. The last two bits
+    are the size less one."""
     out = [mixed(words.hash ^ seed)]
     for size in range(2, LONGEST + 1):
         n = max(0, len(words.hash) - size + 1)
         out.append(mixed(out[-1][:n] * STEP + words.hash[size - 1:size - 1 + n]))
-    return out
+    return [(c & ~np.uint64(3)) | np.uint64(size) for size, c in enumerate(out)]
+
+
+def bits_for(n: int) -> int:
+    """Bits of a filter of ``n`` phrases."""
+    bits = LEAST_BITS
+    while bits < min(MOST_BITS, BITS_EACH * n):
+        bits *= 2
+    return bits
 
 
 def places(code: np.ndarray, bits: int) -> list[np.ndarray]:
@@ -150,83 +160,108 @@ def chunks(texts: list[str | None], langs: list[str], most: int) -> Iterator[tup
         yield b"\n".join(parts), size, np.array(starts), held
 
 
-class Counter:
-    """Counts phrases of some texts: those of ``sizes`` words whose first and last words but one (prefix and suffix) are both
-    in ``known``, unless both are in ``done``. Single words, and all words under the empty phrase, if 1 is in ``sizes``."""
-
-    def __init__(self, sizes: list[int], known: Filter, done: Filter | None, most: int = CHUNK):
-        self.sizes, self.known, self.done, self.most = sizes, known, done, most
-        self.powers = Powers()
-
-    def rows(self, texts: list[str | None], langs: list[str]) -> Iterator[pa.RecordBatch]:
-        for data, own, starts, held in chunks(texts, langs, self.most):
-            words = Words.of(data, self.powers)
-            if not len(words.start):
-                continue
-            names, number = np.unique(np.array(held, object), return_inverse=True)
-            lang = number[np.searchsorted(starts, words.start, "right") - 1]
-            code = codes(words, np.array([language_code(x) for x in names], np.uint64)[lang])
-            own_words = int(np.searchsorted(words.start, own))
-            if 1 in self.sizes:
-                total = np.bincount(lang[:own_words], minlength=len(names))
-                yield self.batch(names, np.arange(len(names)), pa.array([""] * len(names), pa.string()), total)
-            for size in self.sizes:
-                n = min(own_words, len(code[size - 1]))
-                at = np.arange(n)
-                if size > 1:
-                    at = np.flatnonzero(words.piece[:n] == words.piece[size - 1:size - 1 + n])
-                    before = code[size - 2]
-                    left, right = self.known.holds(before[at]), None
-                    at = at[left]
-                    right = self.known.holds(before[at + 1])
-                    at = at[right]
-                    if self.done:
-                        at = at[~(self.done.holds(before[at]) & self.done.holds(before[at + 1]))]
-                if len(at):
-                    _, first, count = np.unique(code[size - 1][at], return_index=True, return_counts=True)
-                    at = at[first]
-                    yield self.batch(names, lang[at], words.phrases(at, size), count)
-
-    @staticmethod
-    def batch(names: np.ndarray, lang: np.ndarray, phrases: pa.Array, n: np.ndarray) -> pa.RecordBatch:
-        lang = pa.array(list(names), pa.string()).take(pa.array(lang))
-        return pa.RecordBatch.from_arrays([lang, phrases, pa.array(n, pa.int64())], schema=COUNTS)
-
-
-def counted(docs: DataFrame, sizes: list[int], known: Filter, done: Filter | None, least: int, name: str) -> DataFrame:
-    """(lang, phrase, n) of the phrases that ``Counter`` counts in ``docs`` (lang, text), found ``least`` times or more."""
-    sent = docs.sparkSession.sparkContext.broadcast((sizes, known, done))  # at most MOST_BITS / 4 bytes
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(*sent.value)
-        for batch in batches:
-            for part in slices(batch, "text", 8 * CHUNK):
-                yield from counter.rows(part.column("text").to_pylist(), part.column("lang").to_pylist())
-
-    found = docs.select("lang", "text").mapInArrow(count, "lang string, phrase string, n bigint")
-    sums = found.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
-    return written(sums.where(F.col("n") >= least), name)
-
-
-def with_codes(phrases: DataFrame) -> DataFrame:
-    """``phrases`` (lang, phrase) with the ``code`` of each."""
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers()
-        for batch in batches:
-            for part in slices(batch, "phrase", CHUNK):
-                texts, langs = part.column("phrase").to_pylist(), part.column("lang").to_pylist()
-                words = Words.of("\n".join(texts).encode("utf-8", "surrogatepass"), powers)
-                size = np.array([t.count(" ") + 1 for t in texts])
-                first = np.cumsum(size) - size
-                seeds = {x: language_code(x) for x in set(langs)}
-                code = codes(words, np.repeat(np.array([seeds[x] for x in langs], np.uint64), size))
-                own = np.array([code[s - 1][f] for s, f in zip(size, first)], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("lang"), part.column("phrase"), pa.array(own)], ["lang", "phrase", "code"]
-                )
-
-    return phrases.select("lang", "phrase").mapInArrow(add, "lang string, phrase string, code bigint")
+@dataclass
+class Rule:
+    """What is counted of phrases of ``sizes`` words.
+
+    Without more: those whose prefix and suffix, one word shorter, are both in ``known``; single words always. With
+    ``added``: those that this has left out, hold a phrase of ``added``, and whose shorter phrases are in ``known`` or hold one of
+    ``added`` too. With ``named``: those that are themselves in ``known``."""
+
+    sizes: tuple[int, ...]
+    known: Filter
+    added: Filter | None = None
+    named: bool = False
+
+    def wanted(self, code: list[np.ndarray], piece: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
+        """(size, positions among the first ``n`` words) of the phrases to count."""
+        holds = np.zeros(len(code[0]), bool)  # whether the phrase, one word shorter, holds one of ``added``
+        for size in self.sizes:
+            m = min(n, len(code[size - 1]))
+            at = np.flatnonzero(piece[:m] == piece[size - 1:size - 1 + m])
+            if self.named:
+                yield size, at[self.known.holds(code[size - 1][at])]
+            elif size == 1:
+                yield size, at
+            elif not self.added:
+                before = code[size - 2]
+                at = at[self.known.holds(before[at])]
+                yield size, at[self.known.holds(before[at + 1])]
+            else:
+                before = code[size - 2]
+                holds = (holds[:-1] | holds[1:] if size > 2 else holds) | self.added.holds(before)
+                at = at[holds[at] | holds[at + 1]]
+                first, rest = self.known.holds(before[at]), self.known.holds(before[at + 1])
+                yield size, at[(first | holds[at]) & (rest | holds[at + 1]) & ~(first & rest)]
+
+
+class Pool:
+    """Counts by code, and with ``named`` a language and a phrase for each, added up until there are ``most``."""
+
+    def __init__(self, named: bool, most: int = POOL):
+        self.named, self.most, self.limit, self.parts, self.size = named, most, most, [], 0
+
+    def add(self, code: np.ndarray, lang: pa.Array | None = None, phrase: pa.Array | None = None) -> None:
+        self.parts.append(([code, np.ones(len(code), np.int64)], lang, phrase))
+        self.size += len(code)
+
+    def combine(self) -> None:
+        code, n = (np.concatenate([p[0][i] for p in self.parts]) for i in (0, 1))
+        order = np.argsort(code, kind="stable")
+        code = code[order]
+        first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
+        sums = np.add.reduceat(n[order], first) if len(code) else n
+        lang = phrase = None
+        if self.named:
+            chosen = pa.array(order[first])
+            lang, phrase = (pa.chunked_array([p[i] for p in self.parts]).combine_chunks().take(chosen) for i in (1, 2))
+        self.parts, self.size = [([code[first], sums], lang, phrase)], len(first)
+
+    def flush(self, end: bool = False) -> Iterator[pa.RecordBatch]:
+        """What has been added up, if there is too much of it, or at the end."""
+        if self.parts and (end or self.size > self.limit):
+            self.combine()
+            self.limit = max(self.most, 2 * self.size)
+            if end or self.size > self.most:
+                [([code, n], lang, phrase)] = self.parts
+                columns = [lang, phrase, pa.array(n)] if self.named else [pa.array(code.view(np.int64)), pa.array(n)]
+                yield from pa.Table.from_arrays(columns, ["lang", "phrase", "n"] if self.named else ["code", "n"]).to_batches(1 << 16)
+                self.parts, self.size, self.limit = [], 0, self.most
+
+
+def count_batches(batches: Iterator[pa.RecordBatch], rule: Rule, chunk: int = CHUNK) -> Iterator[pa.RecordBatch]:
+    """Sums of ``rule`` for batches of (lang, text). Where it is ``named``, the empty phrase counts all words."""
+    powers, pool = Powers(), Pool(rule.named)
+    for batch in batches:
+        for part in slices(batch, "text", 4 * chunk):
+            for data, own, starts, held in chunks(part.column("text").to_pylist(), part.column("lang").to_pylist(), chunk):
+                words = Words.of(data, powers)
+                n = int(np.searchsorted(words.start, own))
+                names, number = np.unique(np.array(held, object), return_inverse=True)
+                lang = number[np.searchsorted(starts, words.start, "right") - 1]
+                code = codes(words, np.array([language_code(x) for x in names], np.uint64)[lang])
+                names = pa.array(list(names), pa.string())
+                if rule.named and n:
+                    totals = pa.array(np.bincount(lang[:n], minlength=len(names)))
+                    yield pa.RecordBatch.from_arrays([names, pa.array([""] * len(names)), totals], ["lang", "phrase", "n"])
+                for size, at in rule.wanted(code, words.piece, n):
+                    if rule.named:  # a phrase is cut out once for each chunk
+                        same, first, inverse = np.unique(code[size - 1][at], return_index=True, return_inverse=True)
+                        at = at[first]
+                        pool.add(same, names.take(pa.array(lang[at])), words.phrases(at, size))
+                        pool.parts[-1][0][1] = np.bincount(inverse, minlength=len(same))
+                    else:
+                        pool.add(code[size - 1][at])
+                yield from pool.flush()
+    yield from pool.flush(True)
+
+
+def frequent_codes(docs: DataFrame, rule: Rule, least: int, name: str) -> DataFrame:
+    """(code) of the phrases that ``rule`` counts ``least`` times or more in ``docs`` (lang, text). Equal codes of different
+    phrases are counted together, so a code may be there in vain but none is missing."""
+    sent = docs.sparkSession.sparkContext.broadcast(rule)  # two filters of at most MOST_BITS
+    found = docs.select("lang", "text").mapInArrow(lambda batches: count_batches(batches, sent.value), "code bigint, n bigint")
+    return written(found.groupBy("code").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("code"), name)
 
 
 def filled(coded: DataFrame, start: Filter) -> Filter:
@@ -260,40 +295,45 @@ def unknown(coded: DataFrame, known: Filter) -> DataFrame:
 
 
 def frequent_phrases(docs: DataFrame, least: int, one_in: int) -> tuple[DataFrame, int]:
-    """((lang, phrase, n) of all phrases of up to ``LONGEST`` words found ``least`` times or more, passes made).
+    """((lang, phrase, n) of all phrases of up to ``LONGEST`` words found ``least`` times or more, passes that counted codes of all rows).
 
     Toivonen's search. In a sample (one of ``one_in`` rows by their hashes) phrases that are frequent by a lowered bound are
     found size by size: the proposed ones. One pass over all rows then counts them and their negative
     border: all single words, and the phrases that are not proposed though their prefix and suffix are.
-    If a phrase of the border is frequent, longer ones may have been missed: it is added to the proposed ones and
-    another pass counts what the border has gained, until nothing new is frequent. Every frequent phrase has a
-    frequent prefix and suffix, so the result is exact whatever the sample was. Proposed phrases are sent as a
-    filter of bits of bounded size; what it lets through by mistake is counted in vain, exactly.
+    If phrases of the border are frequent, longer ones that hold them may have been missed: they are added, and an expansion
+    pass counts every phrase that holds one of them and of which nothing is known to be rare. A
+    frequent phrase that the first pass left out has a shortest part that is not proposed; the first pass counted that
+    part, so it is added. So one expansion closes the search, and no phrase is missed whatever the sample was.
+    These passes count 64-bit codes, and proposed phrases are sent as a filter of bits of bounded size: what either
+    lets through by mistake is counted in vain. A last pass over all rows counts the phrases themselves whose codes are
+    frequent, so the result is exact.
     """
     rows = docs.withColumn("__fw_h", F.xxhash64(*docs.columns)).where(F.pmod("__fw_h", F.lit(one_in)) == 0)
     sample = written(rows.select("lang", "text"), "collocation-sample")
     mean = least / one_in
-    lowered = max(2, int(mean - sqrt(mean)))
-    found = counted(sample, [1], Filter.empty(), None, lowered, "collocation-proposed").where("phrase <> ''")
-    n = found.count()
-    bits = LEAST_BITS
-    while bits < min(MOST_BITS, 4 * BITS_EACH * n):
-        bits *= 2
-    known = Filter.empty(bits)
-    for size in range(2, LONGEST + 1):
-        known = filled(with_codes(found), known)
-        if size < LONGEST:
-            found = counted(sample, [size], known, None, lowered, "collocation-proposed")
-    frequent = counted(docs, [*range(1, LONGEST + 1)], known, None, least, "collocation-counts")
-    passes, last = 1, frequent
-    while True:
-        coded = with_codes(last.where((F.col("phrase") != "") & (F.size(F.split("phrase", " ")) < LONGEST)))
-        new = written(unknown(coded, known), "collocation-border")
-        if new.isEmpty():
-            return frequent, passes
-        done, known = known, filled(new, known)
-        last = counted(docs, [*range(2, LONGEST + 1)], known, done, least, "collocation-counts")
-        frequent, passes = frequent.unionByName(last), passes + 1
+    lowered = max(2, int(mean - 1.5 * sqrt(mean)))
+    found = frequent_codes(sample, Rule((1,), Filter.empty()), lowered, "collocation-proposed")
+    known = filled(found, Filter.empty(bits_for(4 * found.count())))
+    for size in range(2, LONGEST):
+        known = filled(frequent_codes(sample, Rule((size,), known), lowered, "collocation-proposed"), known)
+    sizes = tuple(range(1, LONGEST + 1))
+    frequent = frequent_codes(docs, Rule(sizes, known), least, "collocation-counts")
+    passes = 1
+    shorter = frequent.where(F.col("code").bitwiseAND(F.lit(3)) < LONGEST - 1)
+    border = written(unknown(shorter, known), "collocation-border")
+    n = border.count()
+    if n:
+        rule = Rule(sizes[1:], known, filled(border, Filter.empty(bits_for(n))))
+        frequent = frequent.unionByName(frequent_codes(docs, rule, least, "collocation-counts"))
+        passes = 2
+    rule = docs.sparkSession.sparkContext.broadcast(
+        Rule(sizes, filled(frequent, Filter.empty(bits_for(frequent.count()))), named=True)
+    )
+    named = docs.select("lang", "text").mapInArrow(
+        lambda batches: count_batches(batches, rule.value), "lang string, phrase string, n bigint"
+    )
+    sums = named.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    return written(sums.where(F.col("n") >= least), "collocations"), passes
 
 
 def scored(frequent: DataFrame, share: int) -> DataFrame:
@@ -331,7 +371,7 @@ def scored(frequent: DataFrame, share: int) -> DataFrame:
 
 
 def collocations(
-    df: DataFrame, text: str = "text", lang: str = "lang", least: int = 30, share: int = 80, top: int = 2000, one_in: int = 8,
+    df: DataFrame, text: str = "text", lang: str = "lang", least: int = 30, share: int = 80, top: int = 2000, one_in: int = 4,
 ) -> DataFrame:
     """The first ``top`` phrases of each language: lang, rank, phrase, a, l, r, n, score (numbers long).
 
