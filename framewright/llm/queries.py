@@ -12,6 +12,7 @@ from framewright.llm.html import extract_text
 from framewright.llm.licenses import PHRASES, TEMPLATES, parsed, scan_licenses
 from framewright.llm.lines import drop_repeated_lines
 from framewright.llm.neardup import near_duplicates
+from framewright.llm.negatives import hard_negatives
 from framewright.llm.packing import pack
 from framewright.llm.quality import quality
 from framewright.llm.tokens import count_tokens
@@ -215,3 +216,23 @@ def op13_license_scan(t: Tables) -> DataFrame:
     from kept join n using (lang) qualify rank <= 2000""")
 def op12_collocations(t: Tables) -> DataFrame:
     return collocations(t("documents").select("doc_id", "lang", "text"))
+
+
+@query("op11_hard_negatives", """
+    with e as (select vec_id, cast(case when vec_id % 7 = 0 then (label + 1) % 10 else label end as bigint) as label,
+            list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+        from embeddings where label is not null and embedding is not null
+            and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+    pairs as (select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same, cast(list_inner_product(a.v, b.v) as bigint) as score
+        from e a join e b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+    positive as (select anchor_id, vec_id as positive_id, score as positive_score from pairs where same
+        qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5),
+    negative as (select p.anchor_id, positive_id, row_number() over (partition by p.anchor_id, positive_id order by score desc, vec_id) as rank,
+            vec_id as negative_id, positive_score, score as negative_score
+        from positive p join pairs n on n.anchor_id = p.anchor_id and not n.same
+            and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score)
+    select anchor_id, positive_id, cast(rank as int) as rank, negative_id, positive_score, negative_score from negative where rank <= 10""")
+def op11_hard_negatives(t: Tables) -> DataFrame:
+    rows = t("embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", label))
