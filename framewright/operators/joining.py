@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from framewright.functions.exprs import all_of, micros, names
+from framewright.operators.hotjoin import hot_join
 from framewright.operators.ordered import SPLIT_ROWS, scan
 
 
@@ -26,15 +27,20 @@ def merge(
     on: str | Sequence[str],
     how: str = "inner",
     salt: int | None = None,
+    split: bool | None = None,
+    cell_rows: int | None = None,
 ) -> DataFrame:
     """Equi-join on columns both sides have; the keys appear once.
 
-    AQE picks broadcast or sort-merge from measured sizes and splits skewed
-    partitions. ``salt`` spreads a hot key by hand for inner and left joins:
+    AQE picks broadcast or sort-merge from measured sizes and splits skewed partitions of inner, left and right joins.
+    It cannot split a full outer join, so that one takes ``hot_join``, which finds hot keys by a sketch;
+    ``split`` asks for it, or for Spark's join, in any form. ``salt`` spreads a hot key by hand for inner and left joins:
     left rows are dealt over ``salt`` copies of the right side.
     """
     on = names(on)
     if salt is None:
+        if how in ("outer", "full", "full_outer") if split is None else split:
+            return hot_join(left, right, on, how, cell_rows)
         return left.join(right, on, how)
     if how not in ("inner", "left", "left_outer"):
         raise ValueError("a salted merge is an inner or a left join")
@@ -43,13 +49,17 @@ def merge(
     return dealt.join(copies, [*on, "__salt"], how).drop("__salt")
 
 
-def merge_semi_anti(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "semi") -> DataFrame:
-    """Left rows that have (semi) or lack (anti) a partner on the right."""
-    on = names(on)
+def merge_semi_anti(
+    left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "semi", cell_rows: int | None = None
+) -> DataFrame:
+    """Left rows that have (semi) or lack (anti) a partner on the right.
+
+    Only the distinct keys of the right side matter, and they are made distinct before the shuffle. AQE does not split a
+    join above such an aggregate, so hot keys of the left side are found and split by ``hot_join``.
+    """
     if how not in ("semi", "anti"):
         raise ValueError("how is 'semi' or 'anti'")
-    # only the distinct keys matter, and they are made distinct before the shuffle
-    return left.join(right.select(*on).distinct(), on, f"left_{how}")
+    return hot_join(left, right, on, how, cell_rows)
 
 
 def merge_where(
