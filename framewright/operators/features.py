@@ -9,20 +9,21 @@ from collections.abc import Sequence
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import (
-    PCA, Bucketizer, FeatureHasher, MaxAbsScaler, MinMaxScaler, Normalizer, OneHotEncoder,
-    PolynomialExpansion, SQLTransformer, StandardScaler, StringIndexer, TargetEncoder,
-    UnivariateFeatureSelector, VarianceThresholdSelector, VectorAssembler,
+    PCA, Bucketizer, FeatureHasher, MaxAbsScaler, MinMaxScaler, Normalizer, PolynomialExpansion, SQLTransformer,
+    StandardScaler, VectorAssembler,
 )
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasInputCols, HasOutputCol
-from pyspark.ml.stat import ChiSquareTest, Correlation
+from pyspark.ml.stat import Correlation
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import NumericType
 
 from framewright.functions.exprs import attach, finite, join_on, names
+from framewright.operators.categories import chi2_independence, one_hot, ordinal_encode, target_encode  # noqa: F401
 from framewright.operators.ordered import hot_keys, quantile_table
+from framewright.operators.selection import kept_columns, select_univariate, select_variance, univariate_scores  # noqa: F401
 from framewright.operators.timeseries import rank_table
 
 # a token is a run of letters of any script
@@ -156,43 +157,6 @@ def scale_robust(inputs, output: str) -> RobustScaler:
     return RobustScaler(inputCols=names(inputs), outputCol=output)
 
 
-def one_hot(inputs, output: str, unseen: str = "zero") -> Pipeline:
-    """Indicator columns in alphabetical order of the categories, as one vector. A
-    category absent at fit time gives all zeros (``zero``) or an ``error``."""
-    inputs = names(inputs)
-    index = [f"{output}__{i}_index" for i in range(len(inputs))]
-    hot = [f"{output}__{i}_hot" for i in range(len(inputs))]
-    lenient = unseen == "zero"
-    return Pipeline(stages=[
-        StringIndexer(
-            inputCols=inputs, outputCols=index, stringOrderType="alphabetAsc",
-            handleInvalid="keep" if lenient else "error",
-        ),
-        # the lenient indexer appends an "unknown" category, which is the one left out
-        OneHotEncoder(inputCols=index, outputCols=hot, dropLast=lenient),
-        VectorAssembler(inputCols=hot, outputCol=output),
-        _drop(*index, *hot),
-    ])
-
-
-def ordinal_encode(input: str, output: str, unseen: str = "error") -> StringIndexer:
-    """Category to index, most frequent first, ties by name."""
-    return StringIndexer(inputCol=input, outputCol=output, stringOrderType="frequencyDesc", handleInvalid=unseen)
-
-
-def target_encode(input: str, output: str, label: str, smoothing: float = 0.0) -> Pipeline:
-    """Category to the mean of ``label`` in the fitted data; an unseen category gets the overall mean."""
-    index = f"{output}__index"
-    return Pipeline(stages=[
-        StringIndexer(inputCol=input, outputCol=index, stringOrderType="alphabetAsc", handleInvalid="keep"),
-        TargetEncoder(
-            inputCols=[index], outputCols=[output], labelCol=label, targetType="continuous",
-            smoothing=smoothing, handleInvalid="keep",
-        ),
-        _drop(index),
-    ])
-
-
 def bin_fixed(input: str, output: str, edges: Sequence[float]) -> Bucketizer:
     """Bin number from given edges; bins are [a, b), the last one is closed."""
     return Bucketizer(inputCol=input, outputCol=output, splits=list(edges), handleInvalid="keep")
@@ -252,20 +216,6 @@ def hash_features(inputs, output: str, size: int = 1 << 18) -> FeatureHasher:
     return FeatureHasher(inputCols=names(inputs), outputCol=output, numFeatures=size)
 
 
-def select_variance(inputs, output: str, threshold: float = 0.0) -> Pipeline:
-    """Keep the columns whose sample variance exceeds ``threshold``."""
-    return _on_vector(inputs, output, VarianceThresholdSelector(varianceThreshold=threshold))
-
-
-def select_univariate(
-    inputs, output: str, label: str, k: int, feature_type: str = "continuous", label_type: str = "categorical"
-) -> Pipeline:
-    """Keep the ``k`` columns with the strongest chi² / F test against the label."""
-    selector = UnivariateFeatureSelector(labelCol=label)
-    selector.setFeatureType(feature_type).setLabelType(label_type).setSelectionMode("numTopFeatures")
-    return _on_vector(inputs, output, selector.setSelectionThreshold(k))
-
-
 def pca(input: str, output: str, k: int) -> Pipeline:
     """First ``k`` principal components of an array column (not centred on output)."""
     raw = f"{output}__raw"
@@ -274,11 +224,6 @@ def pca(input: str, output: str, k: int) -> Pipeline:
     ])
 
 
-def kept_columns(model: PipelineModel, inputs: Sequence[str]) -> list[str]:
-    """Names behind a fitted ``select_variance`` / ``select_univariate`` step."""
-    return [names(inputs)[i] for i in sorted(model.stages[1].selectedFeatures)]
-
-
 def correlation(df: DataFrame, cols: Sequence[str], method: str = "pearson") -> DataFrame:
     """Correlation matrix in long form (a, b, r), over rows without missing values.
 
@@ -296,19 +241,3 @@ def correlation(df: DataFrame, cols: Sequence[str], method: str = "pearson") ->
     matrix = Correlation.corr(vectors, "__v").first()[0].toArray()
     cells = [(a, b, float(matrix[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
     return df.sparkSession.createDataFrame(cells, "a string, b string, r double")
-
-
-def chi2_independence(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
-    """Pearson chi² test of each categorical column against ``label``."""
-    cols = names(cols)
-    index = [f"__x{i}" for i in range(len(cols))]
-    coded = Pipeline(stages=[
-        StringIndexer(inputCols=[*cols, label], outputCols=[*index, "__y"]),
-        VectorAssembler(inputCols=index, outputCol="__v"),
-    ])
-    rows = df.dropna(subset=[*cols, label])
-    test = ChiSquareTest.test(coded.fit(rows).transform(rows), "__v", "__y", flatten=True)
-    name = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("featureIndex") + 1)
-    return test.select(
-        name.alias("column"), "statistic", F.col("degreesOfFreedom").cast("int").alias("dof"), F.col("pValue").alias("p_value")
-    )

@@ -153,7 +153,24 @@ def select_variance(t: Tables) -> DataFrame:
     return summed(model.transform(rows), ops.kept_columns(model, FOUR))
 
 
-@query("select_univariate")
+#: Count, mean and squared deviations of each class, and ANOVA's F of each measure.
+ANOVA_SQL = "with y as (select *, l_returnflag = 'R' as y from lineitem), c as (" + " union all ".join(
+    f"select '{c}' as feature, y, count(*) as c, avg({c}) as m, var_pop({c}) as v from y where {c} is not null group by y" for c in FOUR
+) + """), g as (select feature, sum(c * m) / sum(c) as mean from c group by feature),
+f as (select feature, sum(c * (m - mean) * (m - mean)) as b, sum(c * v) as w, count(*) - 1 as dof, cast(sum(c) as bigint) as n
+  from c join g using (feature) group by feature)"""
+
+
+@query("select_univariate_scores", ANOVA_SQL + """
+select feature, round((b / dof) / (w / (n - dof - 1)), 6) as statistic, dof, n - dof - 1 as rest, n from f""")
+def select_univariate_scores(t: Tables) -> DataFrame:
+    """ANOVA's F of each measure between returned and other lines."""
+    rows = t("lineitem").select(*FOUR, (F.col("l_returnflag") == "R").alias("returned"))
+    return ops.univariate_scores(rows, FOUR, "returned").select("feature", R("statistic", 6).alias("statistic"), "dof", "rest", "n")
+
+
+@query("select_univariate", ANOVA_SQL + ", best as (select feature from f order by (b / dof) / (w / (n - dof - 1)) desc limit 2) " + " union all ".join(
+    f"select '{c}' as feature, round(sum({c}), 2) as total, count(*) as n from lineitem having '{c}' in (select feature from best)" for c in FOUR))
 def select_univariate(t: Tables) -> DataFrame:
     """Which two measures tell returned lines best."""
     rows = t("lineitem").select(*FOUR, (F.col("l_returnflag") == "R").cast("int").alias("returned"))

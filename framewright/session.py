@@ -50,3 +50,10 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """``df`` as a table of its own, at ``path`` or in the shared folder: computed once, read as often as needed."""
+    path = path or new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
