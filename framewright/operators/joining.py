@@ -12,7 +12,8 @@ from framewright.operators.hotjoin import hot_join
 from framewright.operators.ordered import SPLIT_ROWS, scan
 
 
-MAX_CELLS = 10_000
+#: Doublings of the smallest cell of an interval join.
+MOST_SIZES = 40
 
 
 def select_filter(df: DataFrame, exprs: Sequence[str | Column], where: str | Column | None = None) -> DataFrame:
@@ -62,6 +63,12 @@ def merge_semi_anti(
     return hot_join(left, right, on, how, cell_rows)
 
 
+def _units(value: str | Column, base: float, unit: float, top: int) -> Column:
+    """How many units a value lies above ``base``, from 0 to ``top``; it never falls where the value rises."""
+    at = F.floor((F.least(F.greatest(F.col(value).cast("double"), F.lit(base)), F.lit(base + unit * top)) - F.lit(base)) / F.lit(unit))
+    return F.when(F.isnan(F.col(value).cast("double")), F.lit(top).cast("bigint")).otherwise(F.least(at, F.lit(top).cast("bigint")))
+
+
 def merge_where(
     left: DataFrame,
     right: DataFrame,
@@ -70,33 +77,54 @@ def merge_where(
     high: str,
     by: str | Sequence[str] | None = None,
     width: float | None = None,
+    cell_rows: int | None = None,
 ) -> DataFrame:
     """Interval join: pairs with ``low <= value <= high`` (and equal ``by``).
 
-    The value range is cut into cells of ``width``; an interval is listed under
-    each cell it touches, which makes this an equi-join that AQE can balance
-    instead of a nested loop. The default width is the mean length, which keeps the
-    listed copies below three per interval on average, but at least a
-    ``MAX_CELLS``-th of the longest interval, so none is listed more often than that.
-    Column names must differ between sides, except ``by``.
+    The value range is cut into units of ``width`` (default: the mean length of the intervals) and units
+    into cells of 1, 2, 4, ... of them. An interval is listed under the fewest cells that make it up, at most two of each size,
+    a value under its one cell of each size that an interval is listed under, so each pair meets in one
+    cell of an equi-join and there is no nested loop. Long intervals lie in few large cells and do not widen the
+    others; infinite ends reach the end of the range. A large cell is a hot key, which ``hot_join`` splits.
+    A NULL value or end matches nothing; NaN counts as larger than any number, as in Spark's comparisons.
+    Column names must differ between sides, except ``by``. The ends are read once, when this is called.
     """
     by = names(by)
-    if width is None:
-        span = (F.col(high) - F.col(low)).cast("double")
-        mean, longest = right.where(F.col(low) <= F.col(high)).agg(F.avg(span), F.max(span)).first()
-        width = max(mean or 0.0, (longest or 0.0) / MAX_CELLS) or 1.0
-
-    def cell(c: str) -> Column:
-        return F.floor(F.col(c) / F.lit(float(width)))
-
-    points = left.withColumn("__cell", cell(value))
-    spans = right.where(F.col(low) <= F.col(high)).withColumn(
-        "__cell", F.explode(F.sequence(cell(low), cell(high)))
-    )
+    spans = right.where(F.col(low) <= F.col(high))
+    ends = [F.col(c).cast("double") for c in (low, high)]
+    known = [F.when(~F.isnan(e) & (F.abs(e) < float("inf")), e) for e in ends]
+    span = F.when(known[0].isNotNull() & known[1].isNotNull(), ends[1] - ends[0])
+    mean, first, last = spans.agg(
+        F.avg(F.when(span < float("inf"), span)), F.min(F.least(*known)), F.max(F.greatest(*known))
+    ).first()
+    base, length = first if first is not None else 0.0, (last - first) if first is not None else 0.0
+    if length == float("inf"):  # ends so far apart that their distance is no double
+        base, length = 0.0, last
+    unit = max(float(width or mean or 1.0), length / 2**MOST_SIZES)
+    sizes = 1
+    while 2**sizes < length / unit + 2:
+        sizes += 1
+    top = 2**sizes - 1
+
+    a, b = _units(low, base, unit, top), _units(high, base, unit, top)
+    cells = []
+    for k in range(sizes + 1):  # the cells of 2^k units inside an interval that have no parent inside
+        start, stop = F.shiftright(F.col("__a") + (2**k - 1), k), F.shiftright(F.col("__b") + 1, k) - 1
+        for cell, odd in ((start, 1), (stop, 0)):
+            alone = (start <= stop) & (F.pmod(cell, F.lit(2)) == odd)
+            cells.append(F.when(alone, F.struct(F.lit(k).alias("k"), cell.alias("cell"))))
+    listed = F.explode(F.filter(F.array(*cells), lambda c: c.isNotNull())).alias("__c")
+    spans = spans.withColumns({"__a": a, "__b": b}).select(*right.columns, listed)
+    spans = spans.select(*right.columns, F.col("__c.k").alias("__size"), F.col("__c.cell").alias("__cell"))
+    used = sorted(r[0] for r in spans.select("__size").distinct().collect())  # at most MOST_SIZES + 2 numbers
+    at = _units(value, base, unit, top)
+    probes = F.array(*[F.struct(F.lit(k).alias("k"), F.shiftright(F.col("__at"), k).alias("cell")) for k in used or [0]])
+    points = left.where(F.col(value).isNotNull()).withColumn("__at", at).select(*left.columns, F.explode(probes).alias("__c"))
+    points = points.select(*left.columns, F.col("__c.k").alias("__size"), F.col("__c.cell").alias("__cell"))
     return (
-        points.join(spans, [*by, "__cell"], "inner")
+        hot_join(points, spans, [*by, "__size", "__cell"], "inner", cell_rows)
         .where((F.col(value) >= F.col(low)) & (F.col(value) <= F.col(high)))
-        .drop("__cell")
+        .drop("__size", "__cell")
     )
 
 

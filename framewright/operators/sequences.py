@@ -55,11 +55,17 @@ def sequence_windows(df: DataFrame, ids: str, length: int, stride: int | None =
     return rows.withColumn(out, F.slice(F.col(ids), F.col("start") + 1, F.lit(length))).drop(ids)
 
 
-def write_shards(df: DataFrame, path: str, shards: int, seed: int = 0) -> DataFrame:
-    """Write ``df`` as ``shards`` Parquet files of about equally many rows in random order, and read it back
-    with the file's number as ``shard``. Order and shard follow from a hash of the row and ``seed``."""
+def write_shards(df: DataFrame, path: str, shards: int, seed: int = 0, split_rows: int | None = SPLIT_ROWS) -> DataFrame:
+    """Write ``df`` as ``shards`` Parquet files whose numbers of rows differ by one at most, in random order, and read
+    it back with the file's number as ``shard``.
+
+    The order is that of a hash of the row and ``seed``; rows that are equal stand side by side, told apart by where
+    they were read. Rows are numbered in that order, in chunks of about ``split_rows``, so equal rows spread over chunks as
+    well, and dealt to the shards in turn. The same rows give the same shards, however they were partitioned."""
     place = F.xxhash64(F.lit(seed), *[F.to_json(F.struct(c)) for c in df.columns])
-    mixed = df.withColumn("__place", place).withColumn("shard", F.pmod("__place", F.lit(shards)).cast("int"))
-    mixed = mixed.repartition(shards, "shard").sortWithinPartitions("shard", "__place").drop("__place")
+    mixed = df.withColumns({"__place": place, "__row": F.monotonically_increasing_id()})
+    mixed = positions(mixed, [], ["__place", "__row"], "__rank", split_rows=split_rows)
+    mixed = mixed.withColumn("shard", F.pmod(F.col("__rank") - 1, F.lit(shards)).cast("int"))
+    mixed = mixed.repartition(shards, "shard").sortWithinPartitions("shard", "__rank").drop("__place", "__row", "__rank")
     mixed.write.partitionBy("shard").parquet(path)
-    return df.sparkSession.read.parquet(path).select(*df.columns, F.col("shard").cast("int").alias("shard"))
+    return df.sparkSession.read.schema(mixed.schema).parquet(path)

@@ -77,6 +77,17 @@ def merge_where(t: Tables) -> DataFrame:
     return found.select("c_custkey", "s_suppkey", "c_acctbal", "s_acctbal")
 
 
+@query("merge_where_open", """
+select c_custkey, s_suppkey from customer join supplier
+on c_acctbal >= s_acctbal - 20 and (s_suppkey % 10 = 0 or c_acctbal <= s_acctbal + 20)""")
+def merge_where_open(t: Tables) -> DataFrame:
+    """Every tenth interval has no upper end."""
+    high = F.when(F.col("s_suppkey") % 10 == 0, F.lit(float("inf"))).otherwise(F.col("s_acctbal") + 20)
+    spans = t("supplier").select("s_suppkey", (F.col("s_acctbal") - 20).alias("low"), high.alias("high"))
+    found = ops.merge_where(t("customer").select("c_custkey", "c_acctbal"), spans, "c_acctbal", "low", "high")
+    return found.select("c_custkey", "s_suppkey")
+
+
 ASOF_SQL = """
 with p as (select * from events where event_type = 'purchase'), c as (select * from events where event_type = 'click')
 """

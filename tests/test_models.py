@@ -1,5 +1,7 @@
 """Invariants of fits and searches that SQL cannot repeat."""
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
@@ -210,9 +212,10 @@ def test_nearest_centroid_separates_clear_classes(spark):
 def test_rows_only_queries_keep_their_rows(spark):
     from __spark_entry__ import oracle_sql
 
-    unchecked = set(queries()) - set(oracle_sql())
+    optional = re.compile(r"op\d+_|pipeline$")  # of the training-data part, which may be absent
+    unchecked = {q for q in set(queries()) - set(oracle_sql()) if not optional.match(q)}
     assert unchecked == {
-        "topk_similar_lsh", "hash_features", "select_univariate", "pca", "logistic", "linear_svm", "tree_models",
+        "topk_similar_lsh", "topk_similar_ivf", "hash_features", "pca", "logistic", "linear_svm", "tree_models",
         "tree_models_single", "tree_models_boosted", "mlp", "kmeans", "kmeans_bisecting", "gaussian_mixture",
         "isotonic", "silhouette", "cross_validate",
     }
