@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.functions import arrow_udf
 
 from framewright.llm.common import slices, written
@@ -116,12 +116,15 @@ class Landmarks:
 
     def against(self, strings: list[str], project: np.ndarray) -> np.ndarray:
         """k(string, landmark) @ project for each string."""
-        most = 5_000 if project.ndim == 1 else 500  # a row of ``project`` for each subsequence found
-        if len(strings) > most:
-            return np.concatenate([self.against(strings[i:i + most], project) for i in range(0, len(strings), most)])
         rows = self.table @ project
+        most = 5_000 if project.ndim == 1 else 500  # a row of ``project`` for each subsequence found
+        parts = [self._against(strings[i:i + most], rows) for i in range(0, len(strings), most)]
+        return np.concatenate(parts) if parts else np.zeros((0, *rows.shape[1:]))
+
+    def _against(self, strings: list[str], rows: np.ndarray) -> np.ndarray:
+        """Sums of the landmark subsequences' ``rows`` that each string has, by their weights."""
         out = np.zeros((len(strings), *rows.shape[1:]))
-        if not strings or not len(self.codes):
+        if not len(self.codes):
             return out
         who, codes, weights = self.kernel.features(strings)
         some = np.flatnonzero(self.maybe[self.folded(codes)])
@@ -130,7 +133,10 @@ class Landmarks:
         hit = np.flatnonzero(self.codes[at] == codes)
         if rows.ndim == 1:
             return np.bincount(who[hit], weights[hit] * rows[at[hit]], len(strings))
-        np.add.at(out, who[hit], weights[hit, None] * rows[at[hit]])
+        hit = hit[np.argsort(who[hit], kind="stable")]
+        first = np.flatnonzero(np.diff(who[hit], prepend=-1))
+        if len(first):
+            out[who[hit[first]]] = np.add.reduceat(weights[hit, None] * rows[at[hit]], first, axis=0)
         return out
 
 
@@ -181,30 +187,68 @@ def nystrom(landmarks: Landmarks) -> np.ndarray:
     return vectors @ np.diag(values ** -0.5) @ vectors.T
 
 
-def svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float, steps: int = 60) -> tuple[np.ndarray, float]:
-    """Linear SVM with squared hinge loss by Newton steps: half |w|² + cost · sum of weight · max(0, 1 - y f)²."""
-    z = np.hstack([x, np.ones((len(x), 1))])
-    reg = np.eye(z.shape[1])
+def kernel_rows(strings: list[str], marks: Landmarks, root: np.ndarray, spark: SparkSession) -> DataFrame:
+    """(unit, x) as a table: the Nyström features of each string, 4-byte floats as bytes, computed by the executors."""
+    sent = spark.sparkContext.broadcast((marks, root.astype(np.float32)))  # a fixed number of short strings
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks, root = sent.value
+        for batch in batches:
+            x = marks.against(batch.column("unit").to_pylist(), root).astype("<f4")
+            yield pa.RecordBatch.from_arrays([batch.column("unit"), pa.array([r.tobytes() for r in x], pa.binary())], ["unit", "x"])
+
+    frame = spark.createDataFrame([(s,) for s in strings], "unit string")
+    return written(frame.repartition(2 * spark.sparkContext.defaultParallelism).mapInArrow(rows, "unit string, x binary"), "toxic-kernel")
+
+
+def hinge_sums(x: DataFrame, known, w: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """(sum of weight · max(0, 1 - y f)², its gradient, its Hessian) at ``w``, whose last number is the bias, over the rows of ``x``
+    that ``known``, a broadcast unit -> (y, weight), has. A task adds up its rows; only sums reach the driver."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        value, grad, hessian, d = 0.0, np.zeros(len(w)), np.zeros((len(w), len(w))), len(w) - 1
+        for batch in batches:
+            for start in range(0, batch.num_rows, 4096):
+                part = batch.slice(start, 4096)
+                found = [known.value.get(u) for u in part.column("unit").to_pylist()]
+                at = [i for i, f in enumerate(found) if f]
+                if not at:
+                    continue
+                y, weight = np.array([found[i] for i in at]).T
+                rows = np.frombuffer(b"".join(part.column("x").take(pa.array(at)).to_pylist()), "<f4").reshape(len(at), d)
+                slack = 1 - y * (rows @ w[:-1] + w[-1])
+                on = slack > 0
+                z = np.column_stack([rows[on], np.ones(int(on.sum()))])
+                value += float(weight[on] @ slack[on] ** 2)
+                grad -= 2 * z.T @ (weight[on] * y[on] * slack[on])
+                hessian += 2 * (z.T * weight[on]) @ z
+        yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([[value], grad, hessian.ravel()]).tobytes()], pa.binary())], ["s"])
+
+    sums = [np.frombuffer(r["s"]) for r in x.mapInArrow(add, "s binary").collect()]
+    total, n = np.sum(sums, axis=0), len(w)
+    return float(total[0]), total[1:n + 1], total[n + 1:].reshape(n, n)
+
+
+def svm(x: DataFrame, known, cost: float, w: np.ndarray, steps: int = 60) -> np.ndarray:
+    """Linear SVM with squared hinge loss by Newton steps from ``w``: half |w|² + cost · ``hinge_sums``, a job for each step."""
+    reg = np.eye(len(w))
     reg[-1, -1] = 1e-6
-    w = np.zeros(z.shape[1])
-    value = lambda w: 0.5 * w @ reg @ w + cost * (weight * np.maximum(0, 1 - y * (z @ w)) ** 2).sum()
+
+    def at(w: np.ndarray):
+        loss, grad, hessian = hinge_sums(x, known, w)
+        return 0.5 * w @ reg @ w + cost * loss, reg @ w + cost * grad, reg + cost * hessian
+
+    value, grad, hessian = at(w)
     for _ in range(steps):
-        slack = 1 - y * (z @ w)
-        on = slack > 0
-        grad, hessian = reg @ w, reg.copy()
-        at = np.flatnonzero(on)
-        for i in range(0, len(at), 4096):  # few rows are copied at a time
-            k = at[i:i + 4096]
-            grad -= 2 * cost * z[k].T @ (weight[k] * y[k] * slack[k])
-            hessian += 2 * cost * (z[k].T * weight[k]) @ z[k]
-        step = np.linalg.solve(hessian, grad)
-        size, now = 1.0, value(w)
-        while size > 1e-4 and value(w - size * step) > now:
+        step, size = np.linalg.solve(hessian, grad), 1.0
+        new = at(w - step)
+        while size > 1e-4 and new[0] > value:
             size /= 2
-        w = w - size * step
+            new = at(w - size * step)
+        w, (value, grad, hessian) = w - size * step, new
         if np.abs(size * step).max() < 1e-6:
             break
-    return w[:-1], float(w[-1])
+    return w
 
 
 def platt(margin: np.ndarray, label: np.ndarray, weight: np.ndarray, steps: int = 100) -> tuple[float, float]:
@@ -356,8 +400,10 @@ def fit(
     model = None
     if not marks.strings:
         return None
-    root = nystrom(marks)
+    root, spark = nystrom(marks), docs.sparkSession
     negatives: set[str] = set()
+    rows, done = None, set()  # kernel rows are kept by string: most strings come back in every round
+    w = np.zeros(len(marks.strings) + 1)
     for _ in range(rounds):
         found = best_units(sample, model) if model else typical_units(sample, gains).collect()  # a few units for each document
         negatives |= {r["unit"] for r in found if r["y"] == 0}
@@ -370,8 +416,18 @@ def fit(
         y = np.array([1.0] * (len(counts) + len(hidden)) + [-1.0] * len(negatives))
         weight = np.array([*np.log1p(list(counts.values())), *(n for _, n in hidden), *[1.0] * len(negatives)])
         weight = np.where(y > 0, weight / weight[y > 0].sum(), weight / weight[y < 0].sum())
-        w, bias = svm(marks.against(strings, root.astype(np.float32)), y, weight, cost)
-        model = Model(marks, root @ w, bias)
+        new = list(dict.fromkeys(u for u in strings if u not in done))
+        if new:
+            more = kernel_rows(new, marks, root, spark)
+            rows = more if rows is None else rows.unionByName(more)
+            done.update(new)
+        sums: dict[str, tuple[float, float]] = {}
+        for u, label_of, share in zip(strings, y.tolist(), weight.tolist()):  # a string met twice counts twice
+            sums[u] = (label_of, share + sums.get(u, (0.0, 0.0))[1])
+        known = spark.sparkContext.broadcast(sums)  # at most the units of ``max_documents`` texts and their disguises
+        w = svm(rows, known, cost, w)
+        known.unpersist()
+        model = Model(marks, root @ w[:-1], float(w[-1]))
     found = best_units(sample, model, 1)
     margin, truth = np.array([r["margin"] for r in found]), np.array([r["y"] for r in found])
     sampled = {c: max(1, int((truth == c).sum())) for c in (0, 1)}
