@@ -187,37 +187,72 @@ def nystrom(landmarks: Landmarks) -> np.ndarray:
     return vectors @ np.diag(values ** -0.5) @ vectors.T
 
 
-def kernel_rows(strings: list[str], marks: Landmarks, root: np.ndarray, spark: SparkSession) -> DataFrame:
-    """(unit, x) as a table: the Nyström features of each string, 4-byte floats as bytes, computed by the executors."""
+@dataclass
+class Examples:
+    """Which strings count as what: ``counts`` of toxic units, clean units, and the total weights of both classes.
+
+    A toxic unit weighs log(1 + n); from three on its disguised forms weigh that in all, but for those that are clean units."""
+
+    counts: dict[str, int]
+    negatives: set[str]
+    total: float = field(init=False)
+
+    def __post_init__(self):
+        self.total = sum(np.log1p(n) for n in self.counts.values())
+        for u in self.disguisable():
+            self.total += sum(self.hidden(u) for h in disguised(u) if h not in self.negatives)
+
+    def disguisable(self) -> list[str]:
+        return [u for u, n in self.counts.items() if n >= 3]
+
+    def hidden(self, unit: str) -> float:
+        return np.log1p(self.counts[unit]) / len(unit)
+
+    def of(self, unit: str, base: str | None) -> tuple[float, float]:
+        """(y, weight) of a unit, or of a disguised form of ``base``; a weight of 0 leaves it out."""
+        if base is not None:
+            known = self.counts.get(base, 0) >= 3 and unit not in self.negatives
+            return 1.0, self.hidden(base) / self.total if known else 0.0
+        if unit in self.negatives:
+            return -1.0, 1.0 / len(self.negatives)
+        return 1.0, np.log1p(self.counts.get(unit, 0)) / self.total
+
+
+def kernel_rows(plain: list[str], bases: list[str], marks: Landmarks, root: np.ndarray, spark: SparkSession) -> DataFrame:
+    """(unit, base, x) as a table, computed by the executors: the Nyström features of each string, 4-byte floats as bytes, and of the
+    disguised forms of each base."""
     sent = spark.sparkContext.broadcast((marks, root.astype(np.float32)))  # a fixed number of short strings
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks, root = sent.value
         for batch in batches:
-            x = marks.against(batch.column("unit").to_pylist(), root).astype("<f4")
-            yield pa.RecordBatch.from_arrays([batch.column("unit"), pa.array([r.tobytes() for r in x], pa.binary())], ["unit", "x"])
+            pairs = []
+            for unit, is_base in zip(*(c.to_pylist() for c in batch.columns)):
+                pairs += [(h, unit) for h in disguised(unit)] if is_base else [(unit, None)]
+            for i in range(0, len(pairs), 4096):
+                units, of = zip(*pairs[i:i + 4096])
+                x = marks.against(list(units), root).astype("<f4")
+                cells = pa.array([r.tobytes() for r in x], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(units), pa.array(of, pa.string()), cells], ["unit", "base", "x"])
 
-    frame = spark.createDataFrame([(s,) for s in strings], "unit string")
-    return written(frame.repartition(2 * spark.sparkContext.defaultParallelism).mapInArrow(rows, "unit string, x binary"), "toxic-kernel")
+    frame = spark.createDataFrame(pa.table({"unit": pa.array(plain + bases, pa.string()), "is_base": [False] * len(plain) + [True] * len(bases)}))
+    dealt = frame.repartition(2 * spark.sparkContext.defaultParallelism)
+    return written(dealt.mapInArrow(rows, "unit string, base string, x binary"), "toxic-kernel")
 
 
-def hinge_sums(x: DataFrame, known, w: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-    """(sum of weight · max(0, 1 - y f)², its gradient, its Hessian) at ``w``, whose last number is the bias, over the rows of ``x``
-    that ``known``, a broadcast unit -> (y, weight), has. A task adds up its rows; only sums reach the driver."""
+def hinge_sums(x: DataFrame, examples, w: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """(sum of weight · max(0, 1 - y f)², its gradient, its Hessian) at ``w``, whose last number is the bias, over the rows of ``x``,
+    as the broadcast ``Examples`` judge them. A task adds up its rows; only sums reach the driver."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         value, grad, hessian, d = 0.0, np.zeros(len(w)), np.zeros((len(w), len(w))), len(w) - 1
         for batch in batches:
             for start in range(0, batch.num_rows, 4096):
                 part = batch.slice(start, 4096)
-                found = [known.value.get(u) for u in part.column("unit").to_pylist()]
-                at = [i for i, f in enumerate(found) if f]
-                if not at:
-                    continue
-                y, weight = np.array([found[i] for i in at]).T
-                rows = np.frombuffer(b"".join(part.column("x").take(pa.array(at)).to_pylist()), "<f4").reshape(len(at), d)
+                y, weight = np.array([examples.value.of(u, b) for u, b in zip(part.column("unit").to_pylist(), part.column("base").to_pylist())]).T
+                rows = np.frombuffer(b"".join(part.column("x").to_pylist()), "<f4").reshape(-1, d)
                 slack = 1 - y * (rows @ w[:-1] + w[-1])
-                on = slack > 0
+                on = (slack > 0) & (weight > 0)
                 z = np.column_stack([rows[on], np.ones(int(on.sum()))])
                 value += float(weight[on] @ slack[on] ** 2)
                 grad -= 2 * z.T @ (weight[on] * y[on] * slack[on])
@@ -229,13 +264,13 @@ def hinge_sums(x: DataFrame, known, w: np.ndarray) -> tuple[float, np.ndarray, n
     return float(total[0]), total[1:n + 1], total[n + 1:].reshape(n, n)
 
 
-def svm(x: DataFrame, known, cost: float, w: np.ndarray, steps: int = 60) -> np.ndarray:
+def svm(x: DataFrame, examples, cost: float, w: np.ndarray, steps: int = 60) -> np.ndarray:
     """Linear SVM with squared hinge loss by Newton steps from ``w``: half |w|² + cost · ``hinge_sums``, a job for each step."""
     reg = np.eye(len(w))
     reg[-1, -1] = 1e-6
 
     def at(w: np.ndarray):
-        loss, grad, hessian = hinge_sums(x, known, w)
+        loss, grad, hessian = hinge_sums(x, examples, w)
         return 0.5 * w @ reg @ w + cost * loss, reg @ w + cost * grad, reg + cost * hessian
 
     value, grad, hessian = at(w)
@@ -292,7 +327,8 @@ def typical_units(sample: DataFrame, gains: DataFrame, most: int = 3) -> DataFra
     """(y, unit) of each sampled document's most typical units, to begin with: a unit's gain is that of its best part. At most
     ``most`` units, those with half of the best one's gain. All gains are joined, none is picked out before."""
     # the outer forms: Spark would compute the parts several times more to filter empty arrays
-    rows = sample.select("y", F.explode_outer("units").alias("u"), F.monotonically_increasing_id().alias("d")).where("u is not null")
+    numbered = sample.select("y", "units", F.monotonically_increasing_id().alias("d"))
+    rows = numbered.select("y", "d", F.explode_outer("units").alias("u")).where("u is not null")
     tasks = 4 * sample.sparkSession.sparkContext.defaultParallelism
     cut = rows.select("u").distinct().repartition(tasks, "u").select("u", F.explode_outer(parts_of("u")).alias("p"))
     best = cut.join(gains, "p").groupBy("u").agg(F.max("gain").alias("gain"))
@@ -402,7 +438,7 @@ def fit(
         return None
     root, spark = nystrom(marks), docs.sparkSession
     negatives: set[str] = set()
-    rows, done = None, set()  # kernel rows are kept by string: most strings come back in every round
+    rows, done = None, (set(), set())  # kernel rows are kept by string: most strings come back in every round
     w = np.zeros(len(marks.strings) + 1)
     for _ in range(rounds):
         found = best_units(sample, model) if model else typical_units(sample, gains).collect()  # a few units for each document
@@ -410,23 +446,16 @@ def fit(
         counts = Counter(r["unit"] for r in found if r["y"] == 1 and r["unit"] not in negatives)
         if not counts or not negatives:
             return None
-        forms = {u: n for u, n in counts.items() if n >= 3}
-        hidden = [(h, np.log1p(n) / len(unit)) for unit, n in forms.items() for h in disguised(unit) if h not in negatives]
-        strings = [*counts, *(h for h, _ in hidden), *sorted(negatives)]
-        y = np.array([1.0] * (len(counts) + len(hidden)) + [-1.0] * len(negatives))
-        weight = np.array([*np.log1p(list(counts.values())), *(n for _, n in hidden), *[1.0] * len(negatives)])
-        weight = np.where(y > 0, weight / weight[y > 0].sum(), weight / weight[y < 0].sum())
-        new = list(dict.fromkeys(u for u in strings if u not in done))
-        if new:
-            more = kernel_rows(new, marks, root, spark)
+        examples = Examples(dict(counts), negatives)
+        new = sorted((counts.keys() | negatives) - done[0]), sorted(set(examples.disguisable()) - done[1])
+        if new[0] or new[1]:
+            more = kernel_rows(*new, marks, root, spark)
             rows = more if rows is None else rows.unionByName(more)
-            done.update(new)
-        sums: dict[str, tuple[float, float]] = {}
-        for u, label_of, share in zip(strings, y.tolist(), weight.tolist()):  # a string met twice counts twice
-            sums[u] = (label_of, share + sums.get(u, (0.0, 0.0))[1])
-        known = spark.sparkContext.broadcast(sums)  # at most the units of ``max_documents`` texts and their disguises
-        w = svm(rows, known, cost, w)
-        known.unpersist()
+            done[0].update(new[0])
+            done[1].update(new[1])
+        sent = spark.sparkContext.broadcast(examples)  # at most the best units of ``max_documents`` texts
+        w = svm(rows, sent, cost, w)
+        sent.destroy()
         model = Model(marks, root @ w[:-1], float(w[-1]))
     found = best_units(sample, model, 1)
     margin, truth = np.array([r["margin"] for r in found]), np.array([r["y"] for r in found])
