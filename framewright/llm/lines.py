@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from framewright.llm.common import LOWER, SPACE, UPPER, text_key
+from framewright.llm.common import LOWER, SPACE, UPPER, text_key, written
 
 
 def line_keys(text: Column) -> Column:
@@ -56,6 +56,7 @@ def drop_repeated_lines(
         .where(F.col("__fw_docs") >= min_docs)
         .drop("__fw_docs")
     )
+    shared = written(shared, "shared-lines")  # AQE splits a hot line only if both sides of the join are shuffled for it
     dropped = (
         lines.join(shared, ["__fw_h1", "__fw_h2"])
         .where(~F.col("__fw_id").eqNullSafe(F.col("__fw_keeper")))

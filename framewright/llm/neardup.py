@@ -217,6 +217,7 @@ def tiled(members: DataFrame, group: str) -> DataFrame:
     sizes = sizes.select(
         F.col(group).alias("__g"), F.greatest(F.ceil(F.col("c") / TILE_DOCS), F.ceil(F.col("s") / TILE_ELEMENTS)).alias("tiles")
     )
+    sizes = written(sizes, "group-sizes")  # AQE splits a hot group only if both sides of the join are shuffled for it
     out = members.join(sizes, F.col(group) == F.col("__g")).drop("__g")
     return out.withColumn("part", F.pmod(F.xxhash64("node", F.lit(3)), F.col("tiles")))
 
@@ -253,7 +254,7 @@ def near_duplicates(
     one = sketch.where("n > 0").select("k1", "k2", "bands").dropDuplicates(["k1", "k2"])
     band = one.select(node, F.explode_outer("bands").alias("h"))
     shared = band.groupBy("h").agg(F.count("*").alias("c"), F.min("node").alias("pivot")).where("c > 1")
-    band = written(band.join(shared.drop("c"), "h"), "shared-bands")
+    band = written(band.join(written(shared.drop("c"), "pivots"), "h"), "shared-bands")
     groups = components(band.where("node <> pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v")), "candidates")
 
     members = groups.join(ids.select(node, "n", "k1", "k2", "least_id"), "node")
@@ -275,14 +276,15 @@ def near_duplicates(
     copies = sketch.groupBy("k1", "k2").agg(F.count("*").alias("copies"))
     named = written(named.join(copies, ["k1", "k2"]).drop("node"), "named")
     least_of = named.groupBy("root").agg(F.min("least_id").alias("class_id"), F.sum("copies").alias("class_size"))
-    least_of = least_of.withColumnRenamed("root", "__r")
+    least_of = written(least_of.withColumnRenamed("root", "__r"), "class-ids")
     named = named.join(least_of, F.col("root") == F.col("__r")).select("k1", "k2", "root", "class_id", "class_size")
     named = named.withColumnsRenamed({"k1": "n1", "k2": "n2"})
     out = sketch.select("id", "k1", "k2").join(named, (F.col("k1") == F.col("n1")) & (F.col("k2") == F.col("n2")))
 
     # one row of the class stays: among those with the smallest id, the one with the smallest hash
     first = out.where(F.col("id").eqNullSafe(F.col("class_id"))).groupBy("root").agg(F.min(F.struct("k1", "k2")).alias("f"))
-    out = out.join(first.withColumnRenamed("root", "__r"), F.col("root") == F.col("__r"), "left")
+    first = written(first.withColumnRenamed("root", "__r"), "class-heads")
+    out = out.join(first, F.col("root") == F.col("__r"), "left")
     kept = F.col("id").eqNullSafe(F.col("class_id")) & (F.struct("k1", "k2") == F.col("f"))
     return out.select(F.col("id").alias(doc_id), "class_id", "class_size", F.coalesce(kept, F.lit(False)).alias("kept"), "k1", "k2")
 

@@ -67,9 +67,12 @@ def revisits(df: DataFrame, page_id: str, least_bytes: int) -> DataFrame:
 
     Works on ids and digests alone. The smallest id is added up before the shuffle, so a
     payload that many pages share costs one row for each task."""
-    narrow = df.where((F.col("bytes") >= least_bytes) & F.col(page_id).isNotNull()).select(page_id, "digest").distinct()
-    first = narrow.groupBy("digest").agg(F.min(page_id).alias("refers_to"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return narrow.join(first, "digest").where(F.col(page_id) > F.col("refers_to"))
+    narrow = df.where((F.col("bytes") >= least_bytes) & F.col(page_id).isNotNull()).select(page_id, "digest")
+    first = narrow.groupBy("digest").agg(F.min(page_id).alias("refers_to"), F.max(page_id).alias("last"))
+    # AQE splits a hot payload only if both sides of the join are shuffled for it and nothing relies on its partitions
+    first = written(first.where(F.col("refers_to") < F.col("last")).drop("last"), "first-pages")
+    found = narrow.join(first, "digest").where(F.col(page_id) > F.col("refers_to"))
+    return written(found, "revisits").distinct()
 
 
 def write_archives(
