@@ -20,6 +20,7 @@ from pyspark.sql.types import ArrayType
 from framewright.functions.exprs import join_on, names
 from framewright.operators.arrays import as_doubles
 from framewright.operators.features import ArrayToVector
+from framewright.operators.isotonic import isotonic  # noqa: F401
 from framewright.operators.neighbours import topk_similar
 
 VECTOR = "__features"
@@ -96,11 +97,6 @@ def gaussian_mixture(df, features, k: int, iterations: int = 100, seed: int = 42
     return fit(df, features, K.GaussianMixture(k=k, maxIter=iterations, seed=seed))
 
 
-def isotonic(df, feature: str, label: str, increasing: bool = True) -> PipelineModel:
-    """Monotone calibration of one score."""
-    return fit(df, [feature], R.IsotonicRegression(labelCol=label, isotonic=increasing), label)
-
-
 def ols_by_group(df: DataFrame, x: str, y: str, by: str | Sequence[str]) -> DataFrame:
     """One simple regression per group, from aggregates: slope, intercept, r2, n."""
     return df.groupBy(*names(by)).agg(

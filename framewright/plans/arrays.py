@@ -9,6 +9,7 @@ from pyspark.sql.types import DoubleType
 from framewright.operators import arrays as ops
 from framewright.operators.inference import batch_predict
 from framewright.operators.models import centroids
+from framewright.operators.ivf import build_ivf, topk_similar_ivf
 from framewright.operators.neighbours import topk_similar, topk_similar_lsh
 from framewright.plans.common import R, round_all
 from framewright.registry import Tables, query
@@ -54,6 +55,14 @@ def topk_lsh(t: Tables) -> DataFrame:
     return round_all(topk_similar_lsh(v, v, 3, skip_self=True), 6, "similarity")
 
 
+@query("topk_similar_ivf")
+def topk_ivf(t: Tables) -> DataFrame:
+    """Every twentieth vector against an inverted-file index of all."""
+    v = t("embeddings")
+    found = topk_similar_ivf(v.where("vec_id % 20 = 0"), build_ivf(v), 10, skip_self=True)
+    return round_all(found, 6, "similarity")
+
+
 @query("gram", f"""
 select cast(a.i as integer) as i, cast(b.i as integer) as j, round(sum(a.x * b.x), 4) + 0.0 as v
 from {CELLS_SQL} a join {CELLS_SQL} b on a.vec_id = b.vec_id and a.i <= b.i group by all""")
