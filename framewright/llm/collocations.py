@@ -94,14 +94,19 @@ def language_code(lang: str) -> int:
     return int.from_bytes(blake2b(lang.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
 
 
+def longer(prefix: np.ndarray, last: np.ndarray, size: np.ndarray | int) -> np.ndarray:
+    """Code of phrases of ``size`` words from the codes of their prefix and last word. The last two bits of a code are
+    the size less one."""
+    return (mixed(prefix * STEP + last) & ~np.uint64(3)) | (np.uint64(size) - np.uint64(1) if isinstance(size, int) else size - np.uint64(1))
+
+
 def codes(words: Words, seed: np.ndarray) -> list[np.ndarray]:
-    """Code of the phrase of 1, 2, ... words from each word on; ``seed`` is the language of each word. The last two bits
-    are the size less one."""
-    out = [mixed(words.hash ^ seed)]
+    """Code of the phrase of 1, 2, ... words from each word on; ``seed`` is the language of each word."""
+    out = [mixed(words.hash ^ seed) & ~np.uint64(3)]
     for size in range(2, LONGEST + 1):
         n = max(0, len(words.hash) - size + 1)
-        out.append(mixed(out[-1][:n] * STEP + words.hash[size - 1:size - 1 + n]))
-    return [(c & ~np.uint64(3)) | np.uint64(size) for size, c in enumerate(out)]
+        out.append(longer(out[-1][:n], out[0][size - 1:size - 1 + n], size))
+    return out
 
 
 def bits_for(n: int) -> int:
@@ -162,16 +167,13 @@ def chunks(texts: list[str | None], langs: list[str], most: int) -> Iterator[tup
 
 @dataclass
 class Rule:
-    """What is counted of phrases of ``sizes`` words.
-
-    Without more: those whose prefix and suffix, one word shorter, are both in ``known``; single words always. With
-    ``added``: those that this has left out, hold a phrase of ``added``, and whose shorter phrases are in ``known`` or hold one of
-    ``added`` too. With ``named``: those that are themselves in ``known``."""
+    """Which phrases of ``sizes`` words are counted by their codes: those whose prefix and suffix, one word shorter, are
+    both in ``known``. With ``added``: those that this has left out, hold a phrase of ``added``, and whose shorter phrases are in
+    ``known`` or hold one of ``added`` too. Without ``known``: all of them, with their words."""
 
     sizes: tuple[int, ...]
-    known: Filter
+    known: Filter | None = None
     added: Filter | None = None
-    named: bool = False
 
     def wanted(self, code: list[np.ndarray], piece: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
         """(size, positions among the first ``n`` words) of the phrases to count."""
@@ -179,16 +181,13 @@ class Rule:
         for size in self.sizes:
             m = min(n, len(code[size - 1]))
             at = np.flatnonzero(piece[:m] == piece[size - 1:size - 1 + m])
-            if self.named:
-                yield size, at[self.known.holds(code[size - 1][at])]
-            elif size == 1:
+            before = code[max(0, size - 2)]
+            if not self.known:
                 yield size, at
             elif not self.added:
-                before = code[size - 2]
                 at = at[self.known.holds(before[at])]
                 yield size, at[self.known.holds(before[at + 1])]
             else:
-                before = code[size - 2]
                 holds = (holds[:-1] | holds[1:] if size > 2 else holds) | self.added.holds(before)
                 at = at[holds[at] | holds[at + 1]]
                 first, rest = self.known.holds(before[at]), self.known.holds(before[at + 1])
@@ -196,26 +195,24 @@ class Rule:
 
 
 class Pool:
-    """Counts by code, and with ``named`` a language and a phrase for each, added up until there are ``most``."""
+    """Counts by code, each with columns of its own, added up until there are ``most``."""
 
-    def __init__(self, named: bool, most: int = POOL):
-        self.named, self.most, self.limit, self.parts, self.size = named, most, most, [], 0
+    def __init__(self, names: list[str], most: int = POOL):
+        self.names, self.most, self.limit, self.parts, self.size = names, most, most, [], 0
 
-    def add(self, code: np.ndarray, lang: pa.Array | None = None, phrase: pa.Array | None = None) -> None:
-        self.parts.append(([code, np.ones(len(code), np.int64)], lang, phrase))
+    def add(self, code: np.ndarray, n: np.ndarray, columns: list[pa.Array]) -> None:
+        self.parts.append((code, n, columns))
         self.size += len(code)
 
     def combine(self) -> None:
-        code, n = (np.concatenate([p[0][i] for p in self.parts]) for i in (0, 1))
+        code, n = (np.concatenate([p[i] for p in self.parts]) for i in (0, 1))
         order = np.argsort(code, kind="stable")
         code = code[order]
         first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
         sums = np.add.reduceat(n[order], first) if len(code) else n
-        lang = phrase = None
-        if self.named:
-            chosen = pa.array(order[first])
-            lang, phrase = (pa.chunked_array([p[i] for p in self.parts]).combine_chunks().take(chosen) for i in (1, 2))
-        self.parts, self.size = [([code[first], sums], lang, phrase)], len(first)
+        chosen = pa.array(order[first])
+        columns = [pa.chunked_array([p[2][i] for p in self.parts]).combine_chunks().take(chosen) for i in range(len(self.names) - 1)]
+        self.parts, self.size = [(code[first], sums, columns)], len(first)
 
     def flush(self, end: bool = False) -> Iterator[pa.RecordBatch]:
         """What has been added up, if there is too much of it, or at the end."""
@@ -223,15 +220,20 @@ class Pool:
             self.combine()
             self.limit = max(self.most, 2 * self.size)
             if end or self.size > self.most:
-                [([code, n], lang, phrase)] = self.parts
-                columns = [lang, phrase, pa.array(n)] if self.named else [pa.array(code.view(np.int64)), pa.array(n)]
-                yield from pa.Table.from_arrays(columns, ["lang", "phrase", "n"] if self.named else ["code", "n"]).to_batches(1 << 16)
+                [(_, n, columns)] = self.parts
+                yield from pa.Table.from_arrays([*columns, pa.array(n)], self.names).to_batches(1 << 16)
                 self.parts, self.size, self.limit = [], 0, self.most
 
 
+def long(x: np.ndarray) -> pa.Array:
+    return pa.array(x.view(np.int64))
+
+
 def count_batches(batches: Iterator[pa.RecordBatch], rule: Rule, chunk: int = CHUNK) -> Iterator[pa.RecordBatch]:
-    """Sums of ``rule`` for batches of (lang, text). Where it is ``named``, the empty phrase counts all words."""
-    powers, pool = Powers(), Pool(rule.named)
+    """Sums of ``rule`` for batches of (lang, text): (prefix, last, n) by the codes of a phrase's prefix and last word, or without
+    ``known`` (lang, phrase, code, n), where the empty phrase counts all words."""
+    named = not rule.known
+    powers, pool = Powers(), Pool(["lang", "phrase", "code", "n"] if named else ["prefix", "last", "n"])
     for batch in batches:
         for part in slices(batch, "text", 4 * chunk):
             for data, own, starts, held in chunks(part.column("text").to_pylist(), part.column("lang").to_pylist(), chunk):
@@ -239,29 +241,46 @@ def count_batches(batches: Iterator[pa.RecordBatch], rule: Rule, chunk: int = CH
                 n = int(np.searchsorted(words.start, own))
                 names, number = np.unique(np.array(held, object), return_inverse=True)
                 lang = number[np.searchsorted(starts, words.start, "right") - 1]
-                code = codes(words, np.array([language_code(x) for x in names], np.uint64)[lang])
+                seeds = np.array([language_code(x) for x in names], np.uint64)
+                code = codes(words, seeds[lang])
                 names = pa.array(list(names), pa.string())
-                if rule.named and n:
-                    totals = pa.array(np.bincount(lang[:n], minlength=len(names)))
-                    yield pa.RecordBatch.from_arrays([names, pa.array([""] * len(names)), totals], ["lang", "phrase", "n"])
+                if named and n:
+                    totals = np.bincount(lang[:n], minlength=len(names))
+                    pool.add(seeds | np.uint64(3), totals, [names, pa.array([""] * len(names)), pa.array(np.zeros(len(names), np.int64))])
                 for size, at in rule.wanted(code, words.piece, n):
-                    if rule.named:  # a phrase is cut out once for each chunk
-                        same, first, inverse = np.unique(code[size - 1][at], return_index=True, return_inverse=True)
+                    here = code[size - 1][at]
+                    if named:  # a phrase is cut out once for each chunk
+                        here, first, inverse = np.unique(here, return_index=True, return_inverse=True)
                         at = at[first]
-                        pool.add(same, names.take(pa.array(lang[at])), words.phrases(at, size))
-                        pool.parts[-1][0][1] = np.bincount(inverse, minlength=len(same))
+                        count = np.bincount(inverse, minlength=len(here))
+                        pool.add(here, count, [names.take(pa.array(lang[at])), words.phrases(at, size), long(here)])
                     else:
-                        pool.add(code[size - 1][at])
+                        pool.add(here, np.ones(len(here), np.int64), [long(code[size - 2][at]), long(code[0][at + size - 1])])
                 yield from pool.flush()
     yield from pool.flush(True)
 
 
-def frequent_codes(docs: DataFrame, rule: Rule, least: int, name: str) -> DataFrame:
-    """(code) of the phrases that ``rule`` counts ``least`` times or more in ``docs`` (lang, text). Equal codes of different
-    phrases are counted together, so a code may be there in vain but none is missing."""
+def frequent_words(docs: DataFrame, least: int) -> DataFrame:
+    """(lang, phrase, code, n) of the words found ``least`` times or more in ``docs`` (lang, text), and of the empty phrase."""
+    found = docs.select("lang", "text").mapInArrow(
+        lambda batches: count_batches(batches, Rule((1,))), "lang string, phrase string, code bigint, n bigint"
+    )
+    return written(found.groupBy("lang", "phrase", "code").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "collocation-words")
+
+
+def frequent_pairs(docs: DataFrame, rule: Rule, least: int, name: str) -> DataFrame:
+    """(prefix, last, n, code) of the phrases that ``rule`` counts ``least`` times or more in ``docs`` (lang, text)."""
     sent = docs.sparkSession.sparkContext.broadcast(rule)  # two filters of at most MOST_BITS
-    found = docs.select("lang", "text").mapInArrow(lambda batches: count_batches(batches, sent.value), "code bigint, n bigint")
-    return written(found.groupBy("code").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("code"), name)
+    found = docs.select("lang", "text").mapInArrow(lambda batches: count_batches(batches, sent.value), "prefix bigint, last bigint, n bigint")
+    sums = found.groupBy("prefix", "last").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+
+    def add_code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prefix, last = (batch.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in ("prefix", "last"))
+            code = longer(prefix, last, (prefix & np.uint64(3)) + np.uint64(2))
+            yield pa.RecordBatch.from_arrays([*batch.columns, long(code)], ["prefix", "last", "n", "code"])
+
+    return written(sums.mapInArrow(add_code, "prefix bigint, last bigint, n bigint, code bigint"), name)
 
 
 def filled(coded: DataFrame, start: Filter) -> Filter:
@@ -295,45 +314,49 @@ def unknown(coded: DataFrame, known: Filter) -> DataFrame:
 
 
 def frequent_phrases(docs: DataFrame, least: int, one_in: int) -> tuple[DataFrame, int]:
-    """((lang, phrase, n) of all phrases of up to ``LONGEST`` words found ``least`` times or more, passes that counted codes of all rows).
+    """((lang, phrase, n) of all phrases of up to ``LONGEST`` words found ``least`` times or more, passes over all rows that counted
+    longer phrases than words).
 
-    Toivonen's search. In a sample (one of ``one_in`` rows by their hashes) phrases that are frequent by a lowered bound are
-    found size by size: the proposed ones. One pass over all rows then counts them and their negative
-    border: all single words, and the phrases that are not proposed though their prefix and suffix are.
+    Toivonen's search. Words are counted with all rows. In a sample (one of ``one_in`` rows by their hashes) longer phrases that
+    are frequent by a lowered bound are found size by size: the proposed ones. One pass over all rows then counts
+    them and their negative border, the phrases that are not proposed though their prefix and suffix are.
     If phrases of the border are frequent, longer ones that hold them may have been missed: they are added, and an expansion
     pass counts every phrase that holds one of them and of which nothing is known to be rare. A
     frequent phrase that the first pass left out has a shortest part that is not proposed; the first pass counted that
     part, so it is added. So one expansion closes the search, and no phrase is missed whatever the sample was.
-    These passes count 64-bit codes, and proposed phrases are sent as a filter of bits of bounded size: what either
-    lets through by mistake is counted in vain. A last pass over all rows counts the phrases themselves whose codes are
-    frequent, so the result is exact.
+    Proposed phrases are sent as a filter of bits of bounded size; what it lets through by mistake is counted in vain.
+    Longer phrases are counted by 128 bits, the codes of their prefix and last word, and get their words from the tables of
+    shorter ones. Counts are exact unless 62-bit codes of two frequent words, or of prefixes with one last word, agree.
     """
+    words = frequent_words(docs, least)
+    singles = words.where("phrase <> ''")
     rows = docs.withColumn("__fw_h", F.xxhash64(*docs.columns)).where(F.pmod("__fw_h", F.lit(one_in)) == 0)
     sample = written(rows.select("lang", "text"), "collocation-sample")
     mean = least / one_in
     lowered = max(2, int(mean - 1.5 * sqrt(mean)))
-    found = frequent_codes(sample, Rule((1,), Filter.empty()), lowered, "collocation-proposed")
-    known = filled(found, Filter.empty(bits_for(4 * found.count())))
+    known = filled(singles, Filter.empty(bits_for(4 * singles.count())))
     for size in range(2, LONGEST):
-        known = filled(frequent_codes(sample, Rule((size,), known), lowered, "collocation-proposed"), known)
-    sizes = tuple(range(1, LONGEST + 1))
-    frequent = frequent_codes(docs, Rule(sizes, known), least, "collocation-counts")
+        known = filled(frequent_pairs(sample, Rule((size,), known), lowered, "collocation-proposed"), known)
+    sizes = tuple(range(2, LONGEST + 1))
+    frequent = frequent_pairs(docs, Rule(sizes, known), least, "collocation-counts")
     passes = 1
     shorter = frequent.where(F.col("code").bitwiseAND(F.lit(3)) < LONGEST - 1)
     border = written(unknown(shorter, known), "collocation-border")
     n = border.count()
     if n:
-        rule = Rule(sizes[1:], known, filled(border, Filter.empty(bits_for(n))))
-        frequent = frequent.unionByName(frequent_codes(docs, rule, least, "collocation-counts"))
+        rule = Rule(sizes, known, filled(border, Filter.empty(bits_for(n))))
+        frequent = frequent.unionByName(frequent_pairs(docs, rule, least, "collocation-counts"))
         passes = 2
-    rule = docs.sparkSession.sparkContext.broadcast(
-        Rule(sizes, filled(frequent, Filter.empty(bits_for(frequent.count()))), named=True)
-    )
-    named = docs.select("lang", "text").mapInArrow(
-        lambda batches: count_batches(batches, rule.value), "lang string, phrase string, n bigint"
-    )
-    sums = named.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
-    return written(sums.where(F.col("n") >= least), "collocations"), passes
+
+    lasts = singles.select(F.col("code").alias("last_code"), F.col("phrase").alias("last_word"))
+    level, named = singles, words.select("lang", "phrase", "n")
+    for size in sizes:
+        prefixes = level.select(F.col("code").alias("prefix_code"), "lang", "phrase")
+        level = frequent.where(F.col("code").bitwiseAND(F.lit(3)) == size - 1)
+        level = level.join(prefixes, F.col("prefix") == F.col("prefix_code")).join(lasts, F.col("last") == F.col("last_code"))
+        level = written(level.select("lang", F.concat_ws(" ", "phrase", "last_word").alias("phrase"), "code", "n"), "collocation-named")
+        named = named.unionByName(level.select("lang", "phrase", "n"))
+    return named, passes
 
 
 def scored(frequent: DataFrame, share: int) -> DataFrame:
