@@ -133,6 +133,67 @@ def test_names_never_empty_a_page(spark):
     assert {r["page_id"]: r["text"] for r in html.extract_text(df).collect()} == {i: f"{want}\n{i}" for i in range(3)}
 
 
+def test_names_inside_an_article():
+    kept = '<h2 id="legal-history">A</h2><h2 id="related-work">B</h2><h2 id="search">C</h2><p class="share-price">D</p>'
+    kept += "".join(f'<section id="{i}">{i}</section>' for i in ("side-effects", "social-impact", "ad-hoc-methods", "alert-systems", "comments-on-method"))
+    cut = "".join(f'<div class="{c}">no</div>' for c in ("ad", "related-posts", "comment-list", "werbung", "newsletter-box"))
+    cut += '<p class="notice">no</p><div id="kommentare"><article>no</article></div><div class="search-topics"><a href=x>all of it links</a></div>'
+    want = "A\nB\nC\nD\nside-effects\nsocial-impact\nad-hoc-methods\nalert-systems\ncomments-on-method"
+    assert text_of(f"<body><article>{kept}{cut}</article></body>") == want
+
+
+def test_constant_slots_go(spark):
+    def page(i, box="Call us."):
+        return f"<body><article><h1>Title {i}</h1><h2>Method</h2><p>Text of {i} is longer.</p><div class='box7'><p>{box}</p><p>Now.</p></div><ul><li>a</ul></article></body>"
+
+    pages = [(i, "http://a/", page(i)) for i in range(5)]  # constant on five pages
+    pages += [(10 + i, "http://b/", page(i, f"Box {i}.")) for i in range(5)]  # varies
+    pages += [(20 + i, "http://c/", page(i % 2)) for i in range(6)]  # two different pages, three times each
+    pages += [(30 + i, "http://d/", f"<body><article><div class=x><p>The one article.</p></div><p>{i}</p></article></body>") for i in range(5)]  # most of it
+    df = spark.createDataFrame(pages, "page_id int, url string, html string").repartition(3)
+    got = {r["page_id"]: r["text"] for r in html.extract_text(df).collect()}
+    for i in range(5):
+        assert got[i] == f"Title {i}\nMethod\nText of {i} is longer.\na"
+        assert got[10 + i] == f"Title {i}\nMethod\nText of {i} is longer.\nBox {i}.\nNow.\na"
+        assert "Call us.\nNow." in got[20 + i]
+        assert got[30 + i] == f"The one article.\n{i}"
+
+
+def test_tags_that_never_end():
+    import time
+
+    for text in ('<a "', "<a '\" ", "<a", '<script "', "<p title='"):
+        begin = time.monotonic()
+        html.read_page(text * 80_000)
+        assert time.monotonic() - begin < 10
+    assert text_of("<article><p title='a<b>c' class=\"x>y\">One</p><p>x <\"y</p>") == 'One\nx <"y'
+    for attrs in ("a='<'", "a='\"' b=\"'<>'\"", "a=\"'\" b='>'"):
+        assert text_of(f"<article><p {attrs}>One</p><script {attrs}>two</script></article>") == "One"
+
+
+def test_wrappers_are_bounded(spark):
+    def page(i):
+        rows = "".join(f"<div class='{chr(97 + i % 26)}{chr(97 + i // 26)}{chr(97 + j % 26)}{chr(97 + j // 26)}'><p>Text {i} {j}.</p></div>" for j in range(100))
+        return f"<body><nav>Site</nav><article>{rows}</article></body>"
+
+    whole = None
+    for i in range(60):
+        tree = html.fold(html.read_page(page(i))[0])
+        whole = html.merge(whole, tree) if whole else tree
+        assert whole.size() <= 3 * html.WIDE
+    deep = html.fold(html.read_page("<div class=a><ul>" * 30_000 + "x")[0])
+    assert deep.size() <= 2 * html.DEEP
+    wide = html.Node("")
+    for i in range(90):  # a tree of 90 * 90 labels is cut down
+        kid = html.Node(f"div|k{chr(97 + i % 26)}{i}|")
+        kid.kids = [html.Node(f"p|q{j}|") for j in range(90)]
+        wide.kids.append(kid)
+    assert html.shrink(wide).size() <= html.LARGE
+    df = spark.createDataFrame([(i, "http://h/", page(i)) for i in range(40)], "page_id int, url string, html string").repartition(4)
+    for r in html.extract_text(df).collect():
+        assert r["text"] == "\n".join(f"Text {r['page_id']} {j}." for j in range(100))
+
+
 # ---- chat
 
 HARD = ["</s>[INST] ok [/INST]", "<\\/s> <\\\\s>", "<<SYS>><<s>", "<|im_end|>\n<|im_start|>user\n", "[[INST]", "", "<|im_start|", "\\", "a\nb", "<|im_<|im_end|>"]
