@@ -7,10 +7,12 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
-from framewright.llm.common import words_of
+from framewright.llm.common import words_of, written
 from framewright.llm.tokens import balanced
 
 FOUND = "struct<n_words: bigint, n_hit: bigint, items: array<string>, spans: array<struct<start: bigint, stop: bigint>>>"
@@ -91,10 +93,11 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-@lru_cache(maxsize=1)
-def patterns_of(items: tuple[tuple[str, str], ...], window: int) -> Patterns:
-    """Tables of one block; a worker keeps those it used last."""
-    return Patterns(list(items), window)
+@lru_cache(maxsize=4)
+def patterns_of(name: str, window: int) -> Patterns:
+    """Tables of the block in a file; a worker keeps those of the four blocks it used last."""
+    block = pq.ParquetFile(SparkFiles.get(name)).read()
+    return Patterns(sorted(zip(block.column("i").to_pylist(), block.column("t").to_pylist())), window)
 
 
 def find_benchmark(
@@ -107,9 +110,10 @@ def find_benchmark(
     A window is ``window`` consecutive words of an item; an item with fewer words, but not
     none, is one window. Words are runs of [0-9A-Za-z] and non-ASCII characters, A-Z lower-cased.
 
-    The benchmark is searched in blocks of about ``block_bytes`` of text. Only one block is on the driver
-    at a time, each is broadcast by itself, and a worker holds the tables of one block; whole
-    documents pass all blocks where they lie, without a shuffle.
+    The benchmark is searched in blocks of about ``block_bytes`` of text, each a file of a table in the shared folder.
+    Items don't pass through the driver: executors fetch the files once and a worker holds the tables of four blocks
+    at most, however large the benchmark is. Whole documents pass all blocks where they lie, without a shuffle, in runs of
+    16 million characters if there are more than four.
 
     NULL text has no words. Items without id or words are never found; rows with the same item id
     are one item. An empty benchmark hits nothing. Other columns pass through; ``out`` is replaced if it is there.
@@ -118,28 +122,30 @@ def find_benchmark(
     items = benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(item_text).alias("t")).dropna()
     total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     blocks = max(1, math.ceil(total / block_bytes))
-    sent = []
-    for b in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("i"), F.lit(blocks)) == b).collect()
-        sent.append(spark.sparkContext.broadcast(tuple(sorted((r["i"], r["t"]) for r in part))))
+    table = written(items.repartition(blocks, F.xxhash64("i")), "benchmark")
+    files = sorted(table.inputFiles())
+    for file in files:
+        spark.sparkContext.addFile(file)
+    names = [file.rpartition("/")[2] for file in files]
+    most = 2_000_000 if len(names) <= 4 else 16_000_000
 
     @arrow_udf(FOUND)
     def search(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             rows = []
-            for run in balanced(batch.to_pylist(), 2_000_000 if len(sent) == 1 else 16_000_000):
+            for run in balanced(batch.to_pylist(), most):
                 cut = [words_of(t) for t in run]
                 hits: list[tuple[set[str], list]] = [(set(), []) for _ in cut]
-                for one in sent:
-                    tables = patterns_of(one.value, window)
-                    for words, (names, spans) in zip(cut, hits):
+                for name in names:
+                    tables = patterns_of(name, window)
+                    for words, (ids, spans) in zip(cut, hits):
                         more, at = tables.search(words)
-                        names |= more
+                        ids |= more
                         spans += at
-                for words, (names, spans) in zip(cut, hits):
+                for words, (ids, spans) in zip(cut, hits):
                     parts = merged(spans)
                     rows.append({
-                        "n_words": len(words), "n_hit": sum(b - a for a, b in parts), "items": sorted(names),
+                        "n_words": len(words), "n_hit": sum(b - a for a, b in parts), "items": sorted(ids),
                         "spans": [{"start": a, "stop": b} for a, b in parts],
                     })
             yield pa.array(rows, FOUND_ARROW)
