@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import (
-    PCA, Bucketizer, FeatureHasher, MaxAbsScaler, MinMaxScaler, Normalizer, PolynomialExpansion, SQLTransformer,
+    Bucketizer, FeatureHasher, MaxAbsScaler, MinMaxScaler, Normalizer, PolynomialExpansion, SQLTransformer,
     StandardScaler, VectorAssembler,
 )
 from pyspark.ml.functions import array_to_vector
@@ -22,6 +22,7 @@ from pyspark.sql.types import NumericType
 
 from framewright.functions.exprs import attach, finite, join_on, names
 from framewright.operators.categories import chi2_independence, one_hot, ordinal_encode, target_encode  # noqa: F401
+from framewright.operators.components import PrincipalComponents
 from framewright.operators.ordered import hot_keys, quantile_table
 from framewright.operators.selection import kept_columns, select_univariate, select_variance, univariate_scores  # noqa: F401
 from framewright.operators.timeseries import rank_table
@@ -31,7 +32,7 @@ TOKEN_BREAK = r"[^\p{L}]+"
 
 
 class ArrayToVector(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
-    """An array column as an ML vector, usable inside a pipeline."""
+    """An array column as an ML vector, usable inside a pipeline; NULL stays NULL."""
 
     @keyword_only
     def __init__(self, *, inputCol: str | None = None, outputCol: str | None = None):
@@ -40,7 +41,7 @@ class ArrayToVector(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadabl
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         vec = F.col(self.getInputCol()).cast("array<double>")
-        return dataset.withColumn(self.getOutputCol(), array_to_vector(vec))
+        return dataset.withColumn(self.getOutputCol(), F.when(vec.isNotNull(), array_to_vector(vec)))
 
 
 def _drop(*cols: str) -> SQLTransformer:
@@ -219,9 +220,8 @@ def hash_features(inputs, output: str, size: int = 1 << 18) -> FeatureHasher:
 def pca(input: str, output: str, k: int) -> Pipeline:
     """First ``k`` principal components of an array column (not centred on output)."""
     raw = f"{output}__raw"
-    return Pipeline(stages=[
-        ArrayToVector(inputCol=input, outputCol=raw), PCA(k=k, inputCol=raw, outputCol=output), _drop(raw)
-    ])
+    step = PrincipalComponents(inputCol=raw, outputCol=output, k=k)
+    return Pipeline(stages=[ArrayToVector(inputCol=input, outputCol=raw), step, _drop(raw)])
 
 
 def correlation(df: DataFrame, cols: Sequence[str], method: str = "pearson") -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml import classification as C, clustering as K, regression as R
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, functions as F
@@ -21,22 +21,23 @@ from framewright.functions.exprs import join_on, names
 from framewright.operators.arrays import as_doubles
 from framewright.operators.features import ArrayToVector
 from framewright.operators.isotonic import isotonic  # noqa: F401
+from framewright.operators.margin import MarginModel, squared_hinge
 from framewright.operators.neighbours import topk_similar
 
 VECTOR = "__features"
 
 
+def vectors(df: DataFrame, features: str | Sequence[str]) -> Transformer:
+    """The step that turns ``features`` into a vector."""
+    if isinstance(features, str) and isinstance(df.schema[features].dataType, ArrayType):
+        return ArrayToVector(inputCol=features, outputCol=VECTOR)
+    return VectorAssembler(inputCols=names(features), outputCol=VECTOR)
+
+
 def pipeline(df: DataFrame, features: str | Sequence[str], estimator: Estimator) -> Pipeline:
     """Estimator behind the step that turns ``features`` into a vector: an array
     column, a vector column, or a list of numeric columns."""
-    if isinstance(features, str):
-        if isinstance(df.schema[features].dataType, ArrayType):
-            first = [ArrayToVector(inputCol=features, outputCol=VECTOR)]
-        else:
-            first = [VectorAssembler(inputCols=[features], outputCol=VECTOR)]
-    else:
-        first = [VectorAssembler(inputCols=list(features), outputCol=VECTOR)]
-    return Pipeline(stages=[*first, estimator.copy({estimator.getParam("featuresCol"): VECTOR})])
+    return Pipeline(stages=[vectors(df, features), estimator.copy({estimator.getParam("featuresCol"): VECTOR})])
 
 
 def fit(df: DataFrame, features: str | Sequence[str], estimator: Estimator, label: str | None = None) -> PipelineModel:
@@ -58,7 +59,13 @@ def logistic(df, features, label: str, l2: float = 0.0, iterations: int = 100) -
 
 
 def linear_svm(df, features, label: str, l2: float = 0.0, iterations: int = 100) -> PipelineModel:
-    return fit(df, features, C.LinearSVC(labelCol=label, regParam=l2, maxIter=iterations), label)
+    """Linear machine with squared hinge loss for labels 0 and 1, by Newton steps (``margin.squared_hinge``): one job a
+    step, of which a few are needed, for up to some thousand features."""
+    first = vectors(df, features)
+    lenient = first.copy({first.getParam("handleInvalid"): "keep"}) if isinstance(first, VectorAssembler) else first
+    rows = lenient.transform(df.select(*names(features), *names(label)))
+    weights, intercept = squared_hinge(rows, VECTOR, label, l2, iterations)
+    return PipelineModel(stages=[first, MarginModel(VECTOR, weights, intercept)])
 
 
 def naive_bayes(df, features, label: str, kind: str = "gaussian", smoothing: float = 1.0) -> PipelineModel:
