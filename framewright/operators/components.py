@@ -48,7 +48,7 @@ class Projection(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable,
 class PrincipalComponents(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
     """First ``k`` principal components by a block Krylov method with a random start.
 
-    A pass multiplies the centred rows with a block of ``k`` + 8 directions: each partition adds up XᵀXQ for its rows, a tall
+    A pass multiplies the centred rows with a block of ``k`` + 8 directions, up to 64 of short vectors: each partition adds up XᵀXQ for its rows, a tall
     narrow array, and these are added as a tree. The driver makes the products orthonormal to the earlier ones and takes the best
     directions within their span. It holds ``blocks`` such arrays and their products, never one of all pairs of columns. When all
     ``k`` leave a residual below ``tolerance`` of the largest variance the fit is done, mostly after a few passes; when ``blocks``
@@ -88,7 +88,7 @@ class PrincipalComponents(Estimator, HasInputCol, HasOutputCol, DefaultParamsRea
     def leading(self, rows: DataFrame, mean: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         d = len(mean)
         k = min(self.getOrDefault("k"), d)
-        width = min(k + 8, d)
+        width = min(max(k + 8, min(64, (1 << 20) // d)), d)
 
         def spread(q: np.ndarray) -> np.ndarray:
             """The covariance times ``q``."""
