@@ -67,6 +67,17 @@ def test_open_intervals_do_not_make_a_hot_task(spark):
             spark.conf.set(c, v)
 
 
+def test_tasks_follow_the_pairs_not_the_files(spark, monkeypatch):
+    """One file and few cells: the pairs are still spread, without a broadcast, and copies of points are not."""
+    monkeypatch.setattr(joining, "TASK_PAIRS", 10_000, raising=False)
+    left = spark.range(0, 3000, 1, 1).select("id", F.lit(5.0).alias("x")).coalesce(1)
+    spans = spark.range(0, 200, 1, 1).select(F.col("id").alias("sid"), F.lit(0.0).alias("lo"), (F.col("id") % 20).cast("double").alias("hi"))
+    out = joining.merge_where(left, spans, "x", "lo", "hi", cell_rows=100)
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 3000 * 150 and len(sizes) >= 12 and max(sizes) <= 0.25 * sum(sizes)
+    assert out.select("id", "sid").distinct().count() == 3000 * 150
+
+
 @pytest.mark.parametrize("split_rows", [None, 500])
 def test_shards_of_equal_rows(spark, tmp_path, split_rows):
     d = spark.range(3000).select(F.lit("same").alias("v"), F.lit(None).cast("int").alias("n")).repartition(5)
