@@ -19,6 +19,7 @@ from pyspark.sql.types import ArrayType
 
 from framewright.functions.exprs import join_on, names
 from framewright.operators.arrays import as_doubles
+from framewright.operators.boosting import fit_cells
 from framewright.operators.features import ArrayToVector
 from framewright.operators.isotonic import isotonic  # noqa: F401
 from framewright.operators.margin import MarginModel, squared_hinge
@@ -75,7 +76,8 @@ def naive_bayes(df, features, label: str, kind: str = "gaussian", smoothing: flo
 def tree_models(
     df, features, label: str, kind: str = "forest", task: str = "classify", depth: int = 5, trees: int = 20, seed: int = 42
 ) -> PipelineModel:
-    """``kind``: tree, forest or boosted; ``task``: classify or regress."""
+    """``kind``: tree, forest or boosted; ``task``: classify or regress. Boosting over up to four features fits the cells
+    of their bins (``boosting.fit_cells``), not rows: the same model, with few passes over the data."""
     common = {"labelCol": label, "maxDepth": depth, "seed": seed}
     makers = {
         ("tree", "classify"): lambda: C.DecisionTreeClassifier(**common),
@@ -85,7 +87,15 @@ def tree_models(
         ("boosted", "classify"): lambda: C.GBTClassifier(maxIter=trees, **common),
         ("boosted", "regress"): lambda: R.GBTRegressor(maxIter=trees, **common),
     }
-    return fit(df, features, makers[kind, task](), label)
+    estimator = makers[kind, task]()
+    if kind != "boosted":
+        return fit(df, features, estimator, label)
+    needed = df.select(*names(features), *names(label)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        found = fit_cells(needed, vectors(df, features), VECTOR, estimator, label, task == "classify")
+        return found or pipeline(needed, features, estimator).fit(needed)
+    finally:
+        needed.unpersist()
 
 
 def mlp(df, features, label: str, layers: Sequence[int], iterations: int = 100, seed: int = 42) -> PipelineModel:
