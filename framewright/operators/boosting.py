@@ -15,7 +15,7 @@ from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, functions as F
 
-#: Features up to which cells are used: 32 bins each make at most a million cells, however many rows there are.
+#: Features up to which cells are used: about 32 bins each make about a million cells at most, however many rows there are.
 FEW = 4
 BINS = 32
 CELL_ROWS = 50_000
@@ -119,7 +119,8 @@ def fit_cells(needed: DataFrame, first: Transformer, vector: str, estimator: Est
         )
         learner = estimator.copy({
             estimator.featuresCol: f"{vector}_bins", estimator.weightCol: "n",
-            estimator.maxBins: max(BINS, math.isqrt(size) + 1),  # no cell is left out when the learner lists the bins
+            # all bins are listed, of which there may be a few more than asked for, and no cell is left out when the learner lists them
+            estimator.maxBins: max(BINS, *[len(ts) + 1 for ts in thresholds], math.isqrt(size) + 1),
         })
         return PipelineModel(stages=[first, Bins(vector, f"{vector}_bins", thresholds), learner.fit(few)])
     finally:

@@ -33,6 +33,17 @@ def test_regression_is_that_of_the_rows(numbers, n):
     assert close(got, plain, rows)
 
 
+def test_draws_with_more_bins_than_asked(numbers):
+    """A draw of more than 10,000 rows leaves room for a 33rd bin; all must stay candidates."""
+    most = 0
+    for seed in range(1, 5):
+        got = models.tree_models(numbers, ["a", "b"], "y", "boosted", "regress", trees=2, seed=seed)
+        plain = models.fit(numbers, ["a", "b"], R.GBTRegressor(labelCol="y", maxDepth=5, maxIter=2, seed=seed), "y")
+        assert close(got, plain, numbers)
+        most = max(most, *map(len, got.stages[1].getOrDefault("thresholds")))
+    assert most >= 32
+
+
 def test_classes_are_those_of_the_rows(numbers):
     rows = numbers.withColumn("v", F.array("a", "b"))
     got = models.tree_models(rows, "v", "l", "boosted", "classify", trees=6)
