@@ -88,12 +88,6 @@ def _split(df: DataFrame, by: list[str], order: list[Column], hot: Hot) -> tuple
     return cold, checkpointed(heavy.withColumn(CHUNK, F.spark_partition_id()))
 
 
-def _frames(w: W, kind: str):
-    if kind == "next":
-        return w.rowsBetween(0, W.unboundedFollowing)
-    return w.rowsBetween(W.unboundedPreceding, 0)
-
-
 def _over(kind: str, value: Column, w: W) -> Column:
     call = {
         "sum": F.sum,
@@ -148,8 +142,20 @@ def scan(
 
 
 def _windowed(df: DataFrame, keys: list[str], order: list[Column], running: dict) -> DataFrame:
+    """Spark sums up a frame that ends with the group anew for each row, which grows with the square of the group. So the
+    next value is the last one in the opposite order, by row numbers, as the order need not be total."""
     w = W.partitionBy(*keys).orderBy(*order)
-    return df.withColumns({o: _over(k, F.col(c), _frames(w, k)) for o, (k, c) in running.items()})
+    ahead = any(k == "next" for k, _ in running.values())
+    if ahead:
+        df = df.withColumn("__nth", F.row_number().over(w))
+    turned = W.partitionBy(*keys).orderBy(F.col("__nth").desc())
+
+    def value(kind: str, c: str) -> Column:
+        kind, frame = ("last", turned) if kind == "next" else (kind, w)
+        return _over(kind, F.col(c), frame.rowsBetween(W.unboundedPreceding, 0))
+
+    out = df.withColumns({o: value(k, c) for o, (k, c) in running.items()})
+    return out.drop("__nth") if ahead else out
 
 
 def _chunked(heavy: DataFrame, by: list[str], order: list[Column], running: dict, totals: dict) -> DataFrame:
