@@ -78,6 +78,43 @@ def test_tasks_follow_the_pairs_not_the_files(spark, monkeypatch):
     assert out.select("id", "sid").distinct().count() == 3000 * 150
 
 
+@pytest.mark.parametrize("cells", [1, 3, 1 << 14])
+@pytest.mark.parametrize("pairs", [30, 1 << 25])
+def test_any_largest_cell_and_any_blocks(spark, monkeypatch, cells, pairs):
+    """However far cells grow and however their pairs are cut, each pair is found once."""
+    for name, value in (("MOST_CELLS", cells), ("TASK_PAIRS", pairs), ("SHARES", 10**9)):
+        monkeypatch.setattr(joining, name, value, raising=False)
+    rng = random.Random(9)
+    odd = [None, NAN, INF, -INF, -20.0, 70.0]
+    points = [(i, rng.choice("aaab"), rng.choice(odd) if i % 5 == 0 else 7.0 if i % 5 == 1 else rng.uniform(-30, 80)) for i in range(200)]
+    spans = []
+    for j in range(60):
+        lo = rng.choice(odd) if j % 6 == 0 else rng.uniform(-20, 60)
+        spans.append((j, rng.choice("ab"), lo, INF if j % 4 == 0 else NAN if j % 13 == 0 else lo and lo + rng.expovariate(rng.choice([0.03, 2]))))
+    left = spark.createDataFrame(points * 2, "id int, g string, x double").repartition(3)
+    right = spark.createDataFrame(spans + spans[:20], "sid int, g string, lo double, hi double")
+    for rows in (None, 7):
+        got = joining.merge_where(left, right, "x", "lo", "hi", by="g", cell_rows=rows)
+        assert sorted((r["id"], r["sid"]) for r in got.collect()) == sorted(brute(points, spans + spans[:20]) * 2)
+
+
+def test_rows_that_meet_many_are_not_listed_often(spark, monkeypatch):
+    """Dense pairs: rows are shuffled about once, nothing is checkpointed, and what is written does not follow the pairs."""
+    listed, kept = [], []
+    dealt, kind = type(spark.range(1)).repartition, type(spark.range(1))
+    monkeypatch.setattr(kind, "repartition", lambda self, n, *on: listed.append(self.count()) or dealt(self, n, *on) if on else dealt(self, n))
+    monkeypatch.setattr(joining, "checkpointed", lambda d: kept.append(d) or d)
+    left = spark.range(30_000).select("id", (F.col("id") * 7919 % 100_000 / 100).alias("x"))
+    spans = spark.range(500).select(
+        F.col("id").alias("sid"), (F.col("id") * 2).cast("double").alias("lo"),
+        F.when(F.col("id") % 10 == 0, F.lit(INF)).otherwise(F.col("id") * 2 + 4).alias("hi"),
+    )
+    out = joining.merge_where(left, spans, "x", "lo", "hi")
+    want = left.join(spans, (F.col("x") >= F.col("lo")) & (F.col("x") <= F.col("hi"))).count()
+    assert out.count() == want and want > 700_000
+    assert len(listed) == 2 and listed[0] == 30_000 and listed[1] <= 16_000 and not kept
+
+
 @pytest.mark.parametrize("split_rows", [None, 500])
 def test_shards_of_equal_rows(spark, tmp_path, split_rows):
     d = spark.range(3000).select(F.lit("same").alias("v"), F.lit(None).cast("int").alias("n")).repartition(5)
